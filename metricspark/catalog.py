@@ -579,7 +579,8 @@ def cluster_nations(spark, sf_dir):
         select c_nationkey, avg(c_acctbal) as center from customer where c_nationkey % 5 > 0 group by c_nationkey
     ),
     located as (
-        select c_custkey, c_acctbal, c.c_nationkey as cluster_id, round(coalesce(center, 0), 2) as center_c_acctbal
+        select c_custkey, c_acctbal, c.c_nationkey as cluster_id,
+               round(coalesce(center, 0)::varchar::decimal(38, 20), 2)::double as center_c_acctbal
         from customer c left join centers using (c_nationkey)
     )
     select *, round(abs(c_acctbal - center_c_acctbal)::varchar::decimal(38, 20), 2)::double as distance_from_center
@@ -720,12 +721,12 @@ def run_summaries(spark, sf_dir):
 def run_consolidation(spark, sf_dir):
     """Run statistics written per query type among other results, gathered again in one table."""
     root = work_path(spark, "runs")
-    summary = run_summary(_event_runs(spark, sf_dir))
+    write_result(run_summary(_event_runs(spark, sf_dir)), f"{root}/summary", fmt="parquet")
+    summary = spark.read.parquet(f"{root}/summary")
     for query_type in ("DF", "SQL"):
         mine = summary.where(F.col("query_type") == query_type)
         write_result(published_summary(mine), f"{root}/{query_type}/evaluation_{query_type}", mode="append", single_file=True)
     write_result(summary, f"{root}/evaluation_other_header", single_file=True)
-    write_result(summary, f"{root}/summary", single_file=True)
     gathered = consolidate_runs(collect_results(spark, root))
     # The published times are single precision; four digits bring back the doubles.
     numbers = gathered.toDF(*summary.columns)

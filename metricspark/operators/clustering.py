@@ -170,7 +170,7 @@ def silhouette(
 
     The mean distance from a row to a cluster follows from the cluster's count, sum
     and sum of squares. One pass makes these sums, a second scores each row against
-    them. The sums are the only thing broadcast; more than ``max_clusters`` of them
+    them. The sums are all that goes to every task; more than ``max_clusters`` of them
     is an error.
     """
     spark = df.sparkSession
@@ -207,7 +207,11 @@ def silhouette(
     table_type = T.StructType(
         [T.StructField("_t", rows.schema["_l"].dataType), T.StructField("_clusters", T.ArrayType(entry_type))]
     )
-    table = F.broadcast(spark.createDataFrame(list(tables.items()), table_type))
+    table = spark.createDataFrame(list(tables.items()), table_type)
+    if labelling:
+        rows = rows.join(F.broadcast(table), F.col("_l").eqNullSafe(F.col("_t")))
+    else:
+        rows = rows.withColumn("_clusters", table.select("_clusters").scalar())
 
     def distance(c: Column) -> Column:
         cross = _total(v * c["mean"][i] for i, v in enumerate(x))
@@ -216,18 +220,14 @@ def silhouette(
 
     mine = F.filter("_clusters", lambda c: c["id"] == F.col("_c"))[0]
     others = F.filter("_clusters", lambda c: c["id"] != F.col("_c"))
-    scored = (
-        rows.join(table, F.col("_l").eqNullSafe(F.col("_t")))
-        .select("*", mine.alias("_mine"))
-        .select(
-            "_l",
-            "_w",
-            F.size("_clusters").alias("_k"),
-            F.col("_mine.n").alias("n"),
-            # The mean over the rest of the own cluster leaves out the row itself.
-            (distance(F.col("_mine")) * F.try_divide(F.col("_mine.n"), F.col("_mine.n") - 1)).alias("own"),
-            F.array_min(F.transform(others, distance)).alias("other"),
-        )
+    scored = rows.select("*", mine.alias("_mine")).select(
+        "_l",
+        "_w",
+        F.size("_clusters").alias("_k"),
+        F.col("_mine.n").alias("n"),
+        # The mean over the rest of the own cluster leaves out the row itself.
+        (distance(F.col("_mine")) * F.try_divide(F.col("_mine.n"), F.col("_mine.n") - 1)).alias("own"),
+        F.array_min(F.transform(others, distance)).alias("other"),
     )
     own, other = F.col("own"), F.col("other")
     score = F.when((F.col("n") == 1) | (own == other), 0.0).otherwise(

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.functions.columns import col, interpolate, null_safe_join, rounded
+from metricspark.session import ensure_checkpoint_dir
 
 QUARTILES = (0.25, 0.5, 0.75)
 
+BROADCAST_TARGETS = 100_000
+
 
 def quantile_name(p: float) -> str:
     return f"p{p * 100:g}".replace(".", "_")
@@ -56,8 +59,9 @@ def series_quantiles(
 ) -> DataFrame:
     """Quantiles of raw readings for each group, exact whatever the group's size.
 
-    ``approx`` is one pass with a bounded sketch per group. The exact form never
-    holds a group in one task:
+    ``approx`` is one pass with a bounded sketch per group. The exact form reads
+    the two columns three times, the first two at once, and never holds a group in
+    one task:
 
     1. ``buckets`` - 1 cut points are taken from one sketch over all readings. As
        they split the readings evenly, a (group, bucket) pair holds no more than
@@ -69,8 +73,8 @@ def series_quantiles(
 
     The cut points only steer the work: any choice gives the same, exact result.
     """
-    if not df.columns or not probs:
-        raise ValueError("need at least one probability")
+    if not probs or not all(0 <= p <= 1 for p in probs):
+        raise ValueError(f"probabilities must lie between 0 and 1: {list(probs)}")
     keys = [f"_k{i}" for i in range(len(by))]
     values = df.select(
         *(col(b).alias(k) for b, k in zip(by, keys, strict=True)), col(value).cast("double").alias("_v")
@@ -88,8 +92,8 @@ def series_quantiles(
 
 
 def _cut_points(values: DataFrame, buckets: int) -> list[float]:
-    probs = [i / buckets for i in range(1, buckets)]
-    sketch = F.percentile_approx("_v", probs, 10 * buckets)
+    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(_v, array({probs}), {10 * buckets})")
     row = values.where(~F.isnan("_v")).agg(sketch.alias("cuts")).first()
     finite = (c for c in row["cuts"] or [] if abs(c) != float("inf"))
     return [float("-inf"), *sorted(set(finite) or {0.0}), float("inf")]
@@ -136,8 +140,14 @@ def _exact(values: DataFrame, keys: list[str], probs: Sequence[float], buckets:
         .select(*keys, "_bucket", "_i", "_side", "_fraction", (F.col("_rank") - F.col("_before")).alias("_rank"))
     )
 
+    # The targets are few, but how few depends on the number of groups. They are
+    # counted before they are broadcast; very many groups leave it to a plain join.
+    ensure_checkpoint_dir(values.sparkSession)
+    targets = targets.checkpoint()
     place = [*keys, "_bucket"]
     needed = targets.select(*place).distinct()
+    if targets.count() <= BROADCAST_TARGETS:
+        needed = F.broadcast(needed)
     hits = bucketed.where(F.col("_v").isNotNull())
     hits = null_safe_join(hits, needed, place, "left_semi")
     per_value = Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)

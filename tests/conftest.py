@@ -1,0 +1,57 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from metricspark.session import build_session  # noqa: E402
+
+TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "metricspark-tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    if session.conf.get("spark.checkpoint.dir", None) is None:
+        session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return TESTDATA
+
+
+@pytest.fixture(scope="session")
+def readings(spark):
+    """One zone, with a null reading and an unreadable time."""
+    return spark.createDataFrame(
+        [
+            ("2021-01-01 00:00:00", "100.0", "50.0"),
+            ("2021-01-01 12:00:00", "200.0", "40.0"),
+            ("2021-12-31 23:00:00", None, "60.0"),
+            ("2022-01-01 00:00:00", "300.0", "30.0"),
+            ("bad", "999.0", "1.0"),
+        ],
+        "time string, c string, f string",
+    )
+
+
+def rows(df, *columns):
+    """Rows as a sorted list of tuples, nulls first."""
+    picked = df.select(*columns) if columns else df
+    return sorted(
+        (tuple(r) for r in picked.collect()), key=lambda t: [(v is not None, v) for v in t]
+    )
