@@ -214,7 +214,7 @@ def _land_orders(spark, sf_dir) -> tuple[str, list[str]]:
         F.col("o_totalprice").alias("Total price"),
         F.col("o_custkey").alias("Customer"),
     )
-    orders.write.partitionBy("dataset").option("header", True).csv(base)
+    orders.hint("rebalance", "dataset").write.partitionBy("dataset").option("header", True).csv(base)
     return base, orders.columns[1:]
 
 

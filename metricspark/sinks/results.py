@@ -60,7 +60,7 @@ def collect_results(spark: SparkSession, root: str, *, suffix: str = ".csv") ->
         .option("pathGlobFilter", f"*{suffix}")
         .text(root)
         .select(
-            F.regexp_extract(where, r"([^/]+)/[^/]+$", 1).alias("result"),
+            F.substring_index(F.substring_index(where, "/", -2), "/", 1).alias("result"),
             where.alias("part"),
             position.alias("position"),
             F.col("value").alias("line"),
