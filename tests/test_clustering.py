@@ -82,6 +82,18 @@ def test_published_clusters(countries):
     assert all(r["n_clusters"] <= k for k, r in scores.items())
 
 
+def test_fits_on_blocks_agree_also_with_fewer_centers_than_k(countries, monkeypatch):
+    monkeypatch.setattr(clustering, "BLOCK_POINTS", 0)
+    with prepare_points(countries, ["carbon-intensity"]) as points:
+        blocks = sweep_k(points, min_k=8, max_k=30)
+        monkeypatch.undo()
+        by_rows = sweep_k(points, min_k=8, max_k=30)
+    assert blocks.best_k == by_rows.best_k == 8
+    for a, b in zip(rows(blocks.scores), rows(by_rows.scores), strict=True):
+        assert a == pytest.approx(b)
+    assert blocks.scores.where("k = 30").first()["n_clusters"] == 29
+
+
 def test_published_report(countries):
     report = cluster_report(countries)
     assert report.columns == ["country", "carbon-intensity", "cluster_id", "cluster_center", "distance_from_center"]
