@@ -5,9 +5,9 @@
     spark-submit metricspark/jobs.py diurnal --zone IT=<parquet> --zone SE=<parquet> --output <dir> [--sql]
     spark-submit metricspark/jobs.py clusters --points <csv> --output <dir>
 
-``--runs N`` runs the report N times more than once and, with ``--run-log``,
-appends the times to a Parquet log (see ``run_summary``). A report that fails
-fails the job.
+``--runs N``, for N above 1, runs the report once to warm up and then N times;
+``--run-log`` appends the times to a Parquet log (see ``run_summary``). A report
+that fails fails the job.
 """
 
 from __future__ import annotations
@@ -59,7 +59,9 @@ def build_report(spark: SparkSession, name: str, *, zones: dict[str, str], point
     return SERIES_REPORTS[name](read_series(spark, zones, ELECTRICITY_HOURLY))
 
 
-def run(spark: SparkSession, name: str, output: str, make: Callable[[], DataFrame], runs: int, log: str | None) -> None:
+def run(
+    spark: SparkSession, name: str, kind: str, output: str, make: Callable[[], DataFrame], runs: int, log: str | None
+) -> None:
     measured = []
     for i in range(runs + 1 if runs > 1 else 1):
         started = dt.datetime.now()
@@ -67,11 +69,18 @@ def run(spark: SparkSession, name: str, output: str, make: Callable[[], DataFram
         write_result(
             make(), output, order_by=reports.REPORT_ORDER[name], columns=reports.REPORT_COLUMNS[name], single_file=True
         )
-        seconds = time.perf_counter() - clock
-        measured.append({"run_id": i, "started_at": started, "seconds": seconds, "succeeded": True})
+        measured.append(
+            {
+                "query_id": name,
+                "query_type": kind,
+                "run_id": i,
+                "started_at": started,
+                "seconds": time.perf_counter() - clock,
+                "succeeded": True,
+            }
+        )
     if log:
-        kind = "SQL" if getattr(make, "as_sql", False) else "DF"
-        append_runs(run_log(spark, [{"query_id": name, "query_type": kind, **m} for m in measured]), log)
+        append_runs(run_log(spark, measured), log)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -90,8 +99,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     def make() -> DataFrame:
         return build_report(spark, args.report, zones=zones, points=args.points, as_sql=args.sql)
 
-    make.as_sql = args.sql
-    run(spark, args.report, args.output, make, args.runs, args.run_log)
+    run(spark, args.report, "SQL" if args.sql else "DF", args.output, make, args.runs, args.run_log)
 
 
 if __name__ == "__main__":

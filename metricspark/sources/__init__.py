@@ -1,4 +1,4 @@
-from metricspark.sources.catalogue import dataset_names, read_catalogue
+from metricspark.sources.catalogue import dataset_names, published_names, read_catalogue
 from metricspark.sources.ingest import clean, csv_to_parquet, merge, normalise_names, write_zoned
 from metricspark.sources.points import points_of, read_points
 from metricspark.sources.series import read_series, register_view, require_columns, series_of, union_zones
@@ -10,6 +10,7 @@ __all__ = [
     "merge",
     "normalise_names",
     "points_of",
+    "published_names",
     "read_catalogue",
     "read_points",
     "read_series",

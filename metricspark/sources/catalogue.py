@@ -28,6 +28,14 @@ def dataset_names(zones: Iterable[str], years: Iterable[int], granularity: str =
     return [f"{zone}_{year}_{granularity}.csv" for zone in zones for year in years]
 
 
+def published_names(granularity: str = "hourly") -> list[str]:
+    """Every published dataset: the series at ``granularity``, then the yearly points."""
+    return [
+        *dataset_names(HOURLY_ZONES, HOURLY_YEARS, granularity),
+        *dataset_names(YEARLY_ZONES, YEARLY_YEARS, "yearly"),
+    ]
+
+
 def read_catalogue(
     spark: SparkSession,
     base: str,

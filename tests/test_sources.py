@@ -6,6 +6,7 @@ from metricspark import ELECTRICITY_HOURLY, ELECTRICITY_YEARLY, PointSpec, Serie
 from metricspark.functions import with_period
 from metricspark.sources import (
     dataset_names,
+    published_names,
     read_catalogue,
     read_points,
     read_series,
@@ -118,6 +119,9 @@ def test_points_header_is_checked_against_known_columns(spark, tmp_path):
 
 def test_dataset_names():
     assert dataset_names(["IT", "SE"], [2021, 2022])[1:3] == ["IT_2022_hourly.csv", "SE_2021_hourly.csv"]
+    everything = published_names("daily")
+    assert len(everything) == 2 * 4 + 30
+    assert (everything[0], everything[-1]) == ("IT_2021_daily.csv", "EG_2024_yearly.csv")
     with pytest.raises(ValueError, match="weekly"):
         dataset_names(["IT"], [2021], "weekly")
 
