@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from metricspark.llm.bpe import bpe_digests
 from metricspark.llm.common import table
 from metricspark.llm.mixing import mix_result
+from metricspark.llm.quality import quality_result
+from metricspark.llm.warc import warc_result
 from metricspark.llm.wavelet import wavelet_result
 
 
@@ -20,15 +22,37 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_result(table(spark, sf_dir, "pages"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_result(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_result(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op5_bpe, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op5_bpe, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op8_warc": """
+        WITH paid AS (
+            SELECT page_id, coalesce(html, '') AS html,
+                   octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes
+            FROM pages),
+        grouped AS (
+            SELECT *, CASE WHEN payload_bytes >= 1000
+                           THEN max(page_id) OVER (PARTITION BY html) END AS first
+            FROM paid)
+        SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM grouped
+    """,
     "op10_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source,
