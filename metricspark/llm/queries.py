@@ -10,6 +10,7 @@ from metricspark.llm.bpe import bpe_digests
 from metricspark.llm.common import table
 from metricspark.llm.mixing import mix_result
 from metricspark.llm.quality import quality_result
+from metricspark.llm.toxicity import toxicity_result
 from metricspark.llm.warc import warc_result
 from metricspark.llm.wavelet import wavelet_result
 
@@ -22,6 +23,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_result(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_result(table(spark, sf_dir, "pages"))
 
@@ -35,7 +40,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op5_bpe, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
