@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from metricspark.llm.bpe import bpe_digests
+from metricspark.llm.chunks import fingerprint_result
 from metricspark.llm.common import table
 from metricspark.llm.mixing import mix_result
 from metricspark.llm.quality import quality_result
@@ -19,6 +20,10 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_result(table(spark, sf_dir, "documents"))
 
 
+def op3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_result(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op3_chunks, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
