@@ -11,6 +11,7 @@ from metricspark.llm.chunks import fingerprint_result
 from metricspark.llm.common import table
 from metricspark.llm.mixing import mix_result
 from metricspark.llm.quality import quality_result
+from metricspark.llm.topk import top_k
 from metricspark.llm.toxicity import toxicity_result
 from metricspark.llm.warc import warc_result
 from metricspark.llm.wavelet import wavelet_result
@@ -20,6 +21,10 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_result(table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_result(table(spark, sf_dir, "documents"))
 
@@ -45,10 +50,24 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op3_chunks, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_topk": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+            FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
     "op8_warc": """
         WITH paid AS (
             SELECT page_id, coalesce(html, '') AS html,
