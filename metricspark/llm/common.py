@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,8 +50,65 @@ class Memo(dict):
         return value
 
 
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Keeps what a Python worker holds at a time to a few megabytes of long texts."""
+    for key, most in (
+        ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
+        ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
+    ):
+        now = re.match(r"\d+", spark.conf.get(key, None) or "")
+        if not now or not 0 < int(now[0]) <= most:
+            spark.conf.set(key, str(most))
+
+
 def replace_columns(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """``withColumns`` that also replaces columns whose names differ in case only."""
+    bound_batches(df.sparkSession)
     taken = {name.lower() for name in columns}
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
     return df.select(*kept, *[value.alias(name) for name, value in columns.items()])
+
+
+class PieceEncoder:
+    """Ids of texts from those of the pieces between their blanks and line feeds.
+
+    Arrow splits a batch and finds its distinct pieces; only those are looked up or
+    encoded, and their ids are gathered for all texts. What is remembered is bounded.
+    """
+
+    SLICE = 1_000
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str, limit: int = 300_000):
+        self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
+        self.known: dict[str, bytes] = {}
+
+    def _look(self, words: list[str]) -> list[bytes]:
+        known = self.known
+        got = list(map(known.get, words))
+        new = [i for i, g in enumerate(got) if g is None]
+        if len(known) + len(new) > self.limit:
+            known.clear()
+        for start in range(0, len(new), 10_000):
+            some = new[start : start + 10_000]
+            for i, coded in zip(some, self.encode([words[i] for i in some])):
+                got[i] = coded
+                if len(known) < self.limit:
+                    known[words[i]] = coded
+        return got
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of an array of texts without nulls, and the place where each begins."""
+        pieces = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = pieces.flatten().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        got = self._look(coded.dictionary.to_pylist())
+        ends = np.cumsum([0, *map(len, got)]) // self.dtype.itemsize
+        ids = pa.array(np.frombuffer(b"".join(got), self.dtype))
+        gathered = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), ids).take(coded.indices)
+        at = np.asarray(pieces.offsets) - pieces.offsets[0].as_py()
+        offsets = np.asarray(gathered.offsets)[at]
+        return np.asarray(gathered.flatten()), offsets - (offsets[0] if len(offsets) else 0)

@@ -10,6 +10,7 @@ from metricspark.llm.bpe import bpe_digests
 from metricspark.llm.chunks import fingerprint_result
 from metricspark.llm.common import table
 from metricspark.llm.mixing import mix_result
+from metricspark.llm.pii import pii_result
 from metricspark.llm.quality import quality_result
 from metricspark.llm.topk import top_k
 from metricspark.llm.toxicity import toxicity_result
@@ -37,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_result(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_result(table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_result(table(spark, sf_dir, "pages"))
 
@@ -50,7 +55,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op5_bpe, op6_toxicity, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op5_bpe, op6_toxicity, op7_pii, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
