@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from metricspark.llm.bpe import bpe_digests
 from metricspark.llm.chunks import fingerprint_result
 from metricspark.llm.common import table
+from metricspark.llm.jaccard import jaccard_components
 from metricspark.llm.mixing import mix_result
 from metricspark.llm.pii import pii_result
 from metricspark.llm.quality import quality_result
@@ -30,6 +31,10 @@ def op3_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_result(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op5_bpe, op6_toxicity, op7_pii, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op4_jaccard, op5_bpe, op6_toxicity, op7_pii, op8_warc, op9_quality, op10_mixing)
 }
 
 ORACLE_SQL: dict[str, str] = {
