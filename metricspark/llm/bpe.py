@@ -24,16 +24,17 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, replace_columns, tokenizer_path
+from metricspark.llm.common import Memo, PieceEncoder, replace_columns, tokenizer_path
 
 LONG_WORD = 100
-# Words and blank-separated pieces remembered by each Python worker.
-MEMO_ENTRIES = 600_000
+# Words remembered by each Python worker.
+MEMO_ENTRIES = 100_000
 NO_MERGE = 1 << 60
 
 
@@ -46,7 +47,7 @@ def byte_characters() -> list[str]:
 
 
 class WordBpe:
-    """Encoder and decoder of one vocabulary file."""
+    """Encoder of one vocabulary file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -55,7 +56,6 @@ class WordBpe:
         vocab = model["vocab"]
         self.end = model["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token_of = {i: t for t, i in vocab.items()} | {i: t for t, i in self.special.items()}
         # rank of a pair of ids, and by rank the id of the merged token
         self.rank: dict[tuple[int, int], int] = {}
         self.merged: list[int] = []
@@ -72,7 +72,7 @@ class WordBpe:
         )
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.word_ids = Memo(self._merge_word, MEMO_ENTRIES)
-        self.piece = Memo(self._encode_piece, MEMO_ENTRIES)
+        self.pieces = PieceEncoder(lambda pieces: list(map(self._encode_piece, pieces)), "<u4")
 
     def _merge_word(self, word: str) -> tuple[int, ...]:
         data = word.encode()
@@ -123,18 +123,25 @@ class WordBpe:
                 ids.extend(self.word_ids[word])
         return np.array(ids, dtype="<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers.
+    def encode(self, text: str) -> list[int]:
+        return self.pieces(pa.array([text]))[0].tolist()
 
-        Blanks and line feeds never lie within a token, so the pieces between them
-        are encoded, and remembered, on their own.
-        """
-        piece = self.piece
-        return b"".join([piece[p] for p in text.replace("\n", " ").split(" ")])
 
-    def decode(self, ids: bytes) -> str:
-        token_of = self.token_of
-        return " ".join([token_of[i] for i in np.frombuffer(ids, dtype="<u4").tolist()])
+class WordDecoder:
+    """Texts of ids: their tokens, one blank between two."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        token_of = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.tokens = pa.array([token_of.get(i, "") for i in range(max(token_of) + 1)], pa.string())
+
+    def __call__(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.tokens.take(pa.array(ids)))
+        return pc.binary_join(tokens, " ")
+
+    def decode(self, ids: list[int]) -> str:
+        return self(np.array(ids, "<u4"), np.array([0, len(ids)]))[0].as_py()
 
 
 @functools.lru_cache(maxsize=2)
@@ -142,14 +149,22 @@ def load_bpe(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@functools.lru_cache(maxsize=2)
+def load_decoder(path: str) -> WordDecoder:
+    return WordDecoder(path)
+
+
 def encode_text(df: DataFrame, text: str = "text", out: str = "token_ids", path: str | None = None) -> DataFrame:
     """Adds the ids of every text, as a binary of little-endian unsigned 32-bit integers."""
     path = path or tokenizer_path()
 
     @F.arrow_udf(T.BinaryType())
     def encode(texts: pa.Array) -> pa.Array:
-        bpe = load_bpe(path)
-        return pa.array([bpe.encode(t or "") for t in texts.to_pylist()], type=pa.binary())
+        bpe, out = load_bpe(path), []
+        for start in range(0, len(texts), PieceEncoder.SLICE):
+            ids, at = bpe.pieces(texts.slice(start, PieceEncoder.SLICE))
+            out += [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
+        return pa.array(out, type=pa.binary())
 
     return replace_columns(df, {out: encode(F.coalesce(F.col(text).cast("string"), F.lit("")))})
 
@@ -160,8 +175,13 @@ def decode_ids(df: DataFrame, ids: str = "token_ids", out: str = "decoded", path
 
     @F.arrow_udf(T.StringType())
     def decode(batch: pa.Array) -> pa.Array:
-        bpe = load_bpe(path)
-        return pa.array([bpe.decode(b or b"") for b in batch.to_pylist()], type=pa.string())
+        decoder, out = load_decoder(path), []
+        for start in range(0, len(batch), PieceEncoder.SLICE):
+            some = batch.slice(start, PieceEncoder.SLICE).to_pylist()
+            sizes = np.array([len(b) // 4 for b in some])
+            ids = np.frombuffer(b"".join(some), "<u4")
+            out.append(decoder(ids, np.cumsum([0, *sizes])).cast(pa.string()))
+        return pa.concat_arrays(out) if out else pa.array([], pa.string())
 
     return replace_columns(df, {out: decode(F.coalesce(F.col(ids), F.lit(b"")))})
 
