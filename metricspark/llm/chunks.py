@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import replace_columns
+from metricspark.llm.common import bound_batches, replace_columns
 
 LEAST, NORMAL, MOST = 16, 48, 256
 HARD_BITS, EASY_BITS = 7, 4
@@ -145,6 +145,7 @@ def with_next(documents: DataFrame, visit: Callable[[list[tuple]], Iterator[pa.R
     There are as many ranges as shuffle partitions. What comes to the driver is one
     bound and one largest id for each.
     """
+    bound_batches(documents.sparkSession)
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = documents.select(

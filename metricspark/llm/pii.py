@@ -9,7 +9,8 @@ letters and digits) share skip potentials, each linked to the next of its like,
 that a document's edges grow with its words. Loopy message passing runs over the
 graphs of a whole batch at once and makes labels consistent across a document.
 
-The field learns from the base spans of a bounded sample of documents. It adds spans
+The field learns from the base spans of a bounded sample of documents: what looks
+like a kind but often fails its pattern there is not added. It adds spans
 of words whose marginal for one kind is at least ``SURE``, which look like that kind
 at all and lie outside the base spans; base spans always stay.
 

@@ -209,6 +209,8 @@ def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality",
     if got:
         pairs = [(np.frombuffer(r["f"]["index"], np.int32), np.frombuffer(r["f"]["value"], np.float32)) for r in got]
         model.fit(pairs, np.array([float(r["_label"]) for r in got]))
+    else:
+        model.table[:] = 0
     return model
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from metricspark.llm.common import bound_batches
 from metricspark.llm.wavelet import open_folder
 from metricspark.session import work_path
 
@@ -141,6 +142,7 @@ def search_block(best: Best, query_ids: np.ndarray, queries: np.ndarray, ids: np
 
 def write_blocks(vectors: DataFrame, folder: str, size: int) -> DataFrame:
     """Writes (vec_id, embedding) rows in blocks; returns the list of finished files."""
+    bound_batches(vectors.sparkSession)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)

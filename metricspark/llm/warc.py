@@ -47,6 +47,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
+from metricspark.llm.common import bound_batches
 from metricspark.llm.wavelet import open_folder
 from metricspark.session import work_path
 
@@ -380,6 +381,7 @@ def page_records(pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 
 def write_warc(records: DataFrame, folder: str) -> None:
+    bound_batches(records.sparkSession)
     register(records.sparkSession)
     records.select(*WRITE_COLUMNS).write.format("warc").option("path", folder).mode("append").save()
 
