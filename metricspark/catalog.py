@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -27,7 +28,7 @@ from metricspark.operators import (
     sweep_k,
     to_long,
 )
-from metricspark.operators.runlog import published_summary
+from metricspark.operators.runlog import append_runs, published_summary, run_log
 from metricspark.plans import (
     cluster_report,
     diurnal_profile_sql,
@@ -36,7 +37,7 @@ from metricspark.plans import (
     ranked_extremes_sql,
 )
 from metricspark.session import work_path
-from metricspark.sinks import collect_results, write_result
+from metricspark.sinks import collect_results, export_results, write_result
 from metricspark.sources import (
     clean,
     csv_to_parquet,
@@ -205,11 +206,20 @@ def ingest_merge(spark, sf_dir):
     return merge([lines, orders])
 
 
+# What stands in a dataset's name for a missing zone or year.
+NO_PART = "none"
+
+
 def _land_orders(spark, sf_dir) -> tuple[str, list[str]]:
     """Orders as header CSV in one folder per zone and year, named as the catalogue names them."""
     base = work_path(spark, "orders-csv")
     orders = _table(spark, sf_dir, "orders").select(
-        F.concat_ws("_", "o_orderstatus", F.year("o_orderdate"), F.lit("hourly.csv")).alias("dataset"),
+        F.concat_ws(
+            "_",
+            F.coalesce("o_orderstatus", F.lit(NO_PART)),
+            F.coalesce(F.year("o_orderdate").cast("string"), F.lit(NO_PART)),
+            F.lit("hourly.csv"),
+        ).alias("dataset"),
         F.date_format("o_orderdate", TEXT_TIME).alias("Datetime (UTC)"),
         F.col("o_totalprice").alias("Total price"),
         F.col("o_custkey").alias("Customer"),
@@ -218,11 +228,11 @@ def _land_orders(spark, sf_dir) -> tuple[str, list[str]]:
     return base, orders.columns[1:]
 
 
-def _order_years(spark, sf_dir) -> range:
-    bounds = _table(spark, sf_dir, "orders").agg(
-        F.min(F.year("o_orderdate")).alias("low"), F.max(F.year("o_orderdate")).alias("high")
-    ).first()
-    return range(bounds["low"], bounds["high"] + 1)
+def _order_datasets(spark, sf_dir) -> list[str]:
+    """The names of the datasets: one for every zone and year that occur."""
+    pairs = _table(spark, sf_dir, "orders").select("o_orderstatus", F.year("o_orderdate").alias("year")).distinct()
+    found = {(r["o_orderstatus"] or NO_PART, r["year"] or NO_PART) for r in pairs.collect()}
+    return sorted(name for zone, year in found for name in dataset_names([zone], [year]))
 
 
 @query(
@@ -235,10 +245,9 @@ def _order_years(spark, sf_dir) -> range:
 )
 def ingest_catalogue(spark, sf_dir):
     base, columns = _land_orders(spark, sf_dir)
-    names = dataset_names(["F", "O", "P"], _order_years(spark, sf_dir))
-    records = read_catalogue(spark, base, names, columns, prefix="dataset=", allow_missing=True)
+    records = read_catalogue(spark, base, _order_datasets(spark, sf_dir), columns, prefix="dataset=")
     return records.select(
-        "zone",
+        F.nullif("zone", F.lit(NO_PART)).alias("zone"),
         "year",
         "granularity",
         parse_time(F.col("`Datetime (UTC)`"), TEXT_TIME).cast("timestamp_ntz").alias("ts"),
@@ -249,7 +258,8 @@ def ingest_catalogue(spark, sf_dir):
 @query(
     "ingest_roundtrip",
     """
-    select o_orderstatus as zone, o_orderdate as ts, o_totalprice as price, o_orderkey as order_key
+    select lpad(cast(o_custkey % 7 as varchar), 3, '0') as zone, o_orderdate as ts, o_totalprice as price,
+           o_orderkey as order_key
     from orders
     """,
 )
@@ -257,7 +267,7 @@ def ingest_roundtrip(spark, sf_dir):
     landing, target = work_path(spark, "raw"), work_path(spark, "zoned")
     raw = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Order (key)"),
-        F.col("o_orderstatus").alias("Zone"),
+        F.lpad((F.col("o_custkey") % 7).cast("string"), 3, "0").alias("Zone"),
         F.date_format("o_orderdate", TEXT_TIME).alias("Datetime (UTC)"),
         F.col("o_totalprice").alias("Total price"),
     )
@@ -281,14 +291,18 @@ def ingest_roundtrip(spark, sf_dir):
 @query(
     "ingest_incremental",
     """
-    select event_id, event_type as zone, date_trunc('second', ts) as ts, value from events
+    select event_id, lpad(cast(user_id % 7 as varchar), 3, '0') as zone, date_trunc('second', ts) as ts, value
+    from events
     """,
 )
 def ingest_incremental(spark, sf_dir):
     """Half the events arrive, are landed, then the rest; the second run lands only those."""
     source, target, marks = (work_path(spark, n) for n in ("arriving", "landed", "marks"))
     events = _table(spark, sf_dir, "events").select(
-        "event_id", "event_type", F.date_format("ts", TEXT_TIME).alias("Datetime (UTC)"), "value"
+        "event_id",
+        F.lpad((F.col("user_id") % 7).cast("string"), 3, "0").alias("zone"),
+        F.date_format("ts", TEXT_TIME).alias("Datetime (UTC)"),
+        "value",
     )
     for arrival in (events.where("value < 10"), events.where("value >= 10 or value is null")):
         write_result(arrival, source, mode="append")
@@ -300,7 +314,7 @@ def ingest_incremental(spark, sf_dir):
             events.columns,
             select={
                 "event_id": "try_cast(event_id as bigint)",
-                "zone": "event_type",
+                "zone": "zone",
                 "ts": f"cast(try_to_timestamp(Datetime__UTC_, '{TEXT_TIME}') as timestamp_ntz)",
                 "value": "try_cast(value as double)",
             },
@@ -550,7 +564,7 @@ def cluster_sweep(spark, sf_dir):
 @query("cluster_centers")
 def cluster_centers(spark, sf_dir):
     with prepare_points(_balances(spark, sf_dir), ["c_acctbal"], order="value") as points:
-        return sweep_k(points, max_k=10).model.centers(spark)
+        return sweep_k(points).model.centers(spark)
 
 
 @query("cluster_assign")
@@ -572,6 +586,72 @@ def cluster_nations(spark, sf_dir):
     )
 
 
+@query(
+    "cluster_scaling",
+    """
+    select round(1 / stddev_samp(c_acctbal), 12) as balance, round(1 / stddev_samp(c_nationkey), 12) as nation,
+           count(*) as n_rows
+    from customer
+    """,
+)
+def cluster_scaling(spark, sf_dir):
+    """The factors that every fit uses, from the distinct points with their repeats."""
+    customers = _table(spark, sf_dir, "customer")
+    with prepare_points(customers, ["c_acctbal", "c_nationkey"], order="value") as points:
+        balance, nation = points.factors
+        found = spark.createDataFrame([(balance, nation, points.n_rows)], "balance double, nation double, n_rows long")
+    return found.select(F.round("balance", 12).alias("balance"), F.round("nation", 12).alias("nation"), "n_rows")
+
+
+@query(
+    "cluster_sweep_bounds",
+    """
+    select cast(k as integer) as k, true as enough, true as in_range
+    from range(2, (select least(30, count(distinct c_acctbal)) from customer) + 1) r(k)
+    """,
+)
+def cluster_sweep_bounds(spark, sf_dir):
+    """Every k that the sweep tries, no more clusters than k, scores within their range."""
+    return cluster_sweep(spark, sf_dir).select(
+        "k", (F.col("n_clusters") <= F.col("k")).alias("enough"), F.col("silhouette").between(-1, 1).alias("in_range")
+    )
+
+
+@query("cluster_assign_check", "select count(*) as n_rows, 0 as not_nearest, 0.0::double as largest_gap from customer")
+def cluster_assign_check(spark, sf_dir):
+    """Over all customers: rows away from their nearest center, and the largest error of a distance."""
+    with prepare_points(_balances(spark, sf_dir), ["c_acctbal"], order="value") as points:
+        model = sweep_k(points).model
+    assigned = model.assign(_balances(spark, sf_dir))
+    held = F.lit([float(c[0]) for c in model.kmeans.clusterCenters()])
+    scaled = F.col("c_acctbal") * F.lit(model.factors[0])
+    nearest = F.array_min(F.transform(held, lambda c: F.abs(c - scaled)))
+    own = F.abs(F.element_at(held, F.col("cluster_id") + 1) - scaled)
+    gap = F.abs(F.round(F.abs(F.col("c_acctbal") - F.col("center_c_acctbal")), 2) - F.col("distance_from_center"))
+    return assigned.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(own > nearest + 1e-12, 1)).cast("int").alias("not_nearest"),
+        F.round(F.max(gap), 6).alias("largest_gap"),
+    )
+
+
+@query("cluster_centers_check", "select 0 as away_from_mean, 0 as without_members")
+def cluster_centers_check(spark, sf_dir):
+    """Centers that are not the mean of their members, within a hundredth of a deviation, or have none.
+
+    A fit may stop at its limit of rounds before the last centers have settled.
+    """
+    with prepare_points(_balances(spark, sf_dir), ["c_acctbal"], order="value") as points:
+        model = sweep_k(points).model
+    means = model.predict(_balances(spark, sf_dir)).groupBy("cluster_id").agg(F.avg("c_acctbal").alias("mean"))
+    joined = model.centers(spark).join(means, "cluster_id", "left")
+    away = F.abs(F.col("center_c_acctbal") - F.col("mean")) * F.lit(model.factors[0]) > 0.01
+    return joined.agg(
+        F.count(F.when(away, 1)).cast("int").alias("away_from_mean"),
+        F.count(F.when(F.col("mean").isNull(), 1)).cast("int").alias("without_members"),
+    )
+
+
 @query(
     "center_lookup",
     """
@@ -680,6 +760,67 @@ def collect_report_lines(spark, sf_dir):
     )
 
 
+@query("export_roundtrip", _REPORT_LINES_SQL)
+def export_roundtrip(spark, sf_dir):
+    """Collected reports exported as text, read back by result."""
+    root, exported = work_path(spark, "results"), work_path(spark, "exported")
+    series = _lines(spark, sf_dir)
+    write_result(period_stats(series, ["year"]), f"{root}/by_year", single_file=True)
+    write_result(period_stats(series, ["year", "month"], stats=["avg"]), f"{root}/by_month", single_file=True)
+    export_results(collect_results(spark, root), exported)
+    return (
+        spark.read.text(exported)
+        .groupBy("result")
+        .agg(
+            F.count(F.lit(1)).alias("lines"),
+            F.count(F.when(~F.col("value").startswith("zone,"), 1)).alias("records"),
+        )
+    )
+
+
+@query(
+    "run_log_append",
+    """
+    with runs as (
+        select c_mktsegment as query_id, c_nationkey as run_id, round(avg(c_acctbal), 2) as seconds
+        from customer group by all
+    ),
+    kept as (
+        select *, row_number() over (partition by query_id order by run_id) as i,
+               count(*) over (partition by query_id) as n
+        from runs
+    )
+    select query_id, 'DF' as query_type, cast(count(*) as integer) as num_runs, round(avg(seconds), 4) as time_avg,
+           round(min(seconds), 4) as time_min, round(max(seconds), 4) as time_max,
+           round(stddev_samp(seconds), 4) as std_dev
+    from kept where i > 1 or n = 1 group by query_id
+    """,
+)
+def run_log_append(spark, sf_dir):
+    """Segments as queries and nations as their runs, logged in two appends and summed up."""
+    runs = (
+        _table(spark, sf_dir, "customer")
+        .groupBy("c_mktsegment", "c_nationkey")
+        .agg(F.round(F.avg("c_acctbal"), 2).alias("seconds"))
+    )
+    # as many rows as segments x nations
+    measured = [
+        {
+            "query_id": r["c_mktsegment"],
+            "query_type": "DF",
+            "run_id": r["c_nationkey"],
+            "started_at": dt.datetime(2024, 1, 1) + dt.timedelta(hours=r["c_nationkey"]),
+            "seconds": r["seconds"],
+            "succeeded": True,
+        }
+        for r in runs.collect()
+    ]
+    path = work_path(spark, "run-log")
+    for part in (measured[::2], measured[1::2]):
+        append_runs(run_log(spark, part), path)
+    return run_summary(spark.read.parquet(path))
+
+
 def _event_runs(spark, sf_dir) -> DataFrame:
     """Events as benchmark runs: type = query, value = seconds, some failed."""
     return _raw_events(spark, sf_dir).select(
@@ -727,7 +868,8 @@ def run_consolidation(spark, sf_dir):
         mine = summary.where(F.col("query_type") == query_type)
         write_result(published_summary(mine), f"{root}/{query_type}/evaluation_{query_type}", mode="append", single_file=True)
     write_result(summary, f"{root}/evaluation_other_header", single_file=True)
-    gathered = consolidate_runs(collect_results(spark, root))
+    table = write_result(consolidate_runs(collect_results(spark, root)), work_path(spark, "all-runs"), fmt="parquet")
+    gathered = spark.read.parquet(table)
     # The published times are single precision; four digits bring back the doubles.
     numbers = gathered.toDF(*summary.columns)
     times = ["time_avg", "time_min", "time_max", "std_dev"]

@@ -60,27 +60,31 @@ def build_report(spark: SparkSession, name: str, *, zones: dict[str, str], point
 
 
 def run(
-    spark: SparkSession, name: str, kind: str, output: str, make: Callable[[], DataFrame], runs: int, log: str | None
+    spark: SparkSession,
+    name: str,
+    kind: str,
+    output: str,
+    make: Callable[[], DataFrame],
+    runs: int,
+    log: str | None,
+    single_file: bool = False,
 ) -> None:
-    measured = []
+    """Each run is logged when it ends, a failed one before its error goes on."""
     for i in range(runs + 1 if runs > 1 else 1):
-        started = dt.datetime.now()
+        entry = {"query_id": name, "query_type": kind, "run_id": i, "started_at": dt.datetime.now(), "succeeded": False}
         clock = time.perf_counter()
-        write_result(
-            make(), output, order_by=reports.REPORT_ORDER[name], columns=reports.REPORT_COLUMNS[name], single_file=True
-        )
-        measured.append(
-            {
-                "query_id": name,
-                "query_type": kind,
-                "run_id": i,
-                "started_at": started,
-                "seconds": time.perf_counter() - clock,
-                "succeeded": True,
-            }
-        )
-    if log:
-        append_runs(run_log(spark, measured), log)
+        try:
+            write_result(
+                make(),
+                output,
+                order_by=reports.REPORT_ORDER[name],
+                columns=reports.REPORT_COLUMNS[name],
+                single_file=single_file,
+            )
+            entry["succeeded"] = True
+        finally:
+            if log:
+                append_runs(run_log(spark, [entry | {"seconds": time.perf_counter() - clock}]), log)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -92,14 +96,18 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--sql", action="store_true")
     parser.add_argument("--runs", type=int, default=1)
     parser.add_argument("--run-log")
+    parser.add_argument(
+        "--single-file", action=argparse.BooleanOptionalAction, help="default: on for reports of fixed size, off for clusters"
+    )
     args = parser.parse_args(argv)
+    single = args.report != "clusters" if args.single_file is None else args.single_file
     zones = dict(z.split("=", 1) for z in args.zone)
     spark = build_session(f"metricspark-{args.report}")
 
     def make() -> DataFrame:
         return build_report(spark, args.report, zones=zones, points=args.points, as_sql=args.sql)
 
-    run(spark, args.report, "SQL" if args.sql else "DF", args.output, make, args.runs, args.run_log)
+    run(spark, args.report, "SQL" if args.sql else "DF", args.output, make, args.runs, args.run_log, single)
 
 
 if __name__ == "__main__":

@@ -9,14 +9,13 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.errors import PySparkException
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from metricspark.functions.columns import col
 from metricspark.session import ensure_checkpoint_dir
@@ -25,9 +24,11 @@ from metricspark.session import ensure_checkpoint_dir
 SEED = 30
 MAX_K = 30
 
-# Centers are looked up with a broadcast join up to this many; a model with more
-# leaves the choice of join to the optimizer.
-BROADCAST_CENTERS = 100_000
+# Centers are looked up with a broadcast join up to this many bytes; a model with
+# more leaves the choice of join to the optimizer.
+BROADCAST_CENTER_BYTES = 8 << 20
+# Clusters that a row is compared with at a time when the silhouette is taken.
+CLUSTER_CHUNK = 2_000
 
 
 # --- features -----------------------------------------------------------------
@@ -56,12 +57,14 @@ class PreparedPoints:
     """Distinct points with their number of repeats, scaled, kept for many passes.
 
     ``frame`` is ``(_x0.., _w, features)``: scaled features, weight, vector.
-    ``factors`` are the reciprocal sample deviations over all original rows.
+    ``factors`` are the reciprocal sample deviations over all original rows, 0 for a
+    constant feature, and ``means`` the means over them.
     """
 
     frame: DataFrame
     features: tuple[str, ...]
     factors: tuple[float, ...]
+    means: tuple[float, ...]
     n_distinct: int
     n_rows: int
     partitions: int
@@ -110,7 +113,7 @@ def prepare_points(
     ensure_checkpoint_dir(df.sparkSession)
     points = points.checkpoint()
 
-    n_distinct, n_rows, factors = _scaling(points, raw, features)
+    n_distinct, n_rows, factors, means = _scaling(points, raw, features)
     partitions = max(1, math.ceil(n_distinct / rows_per_partition))
     names = [f"_x{i}" for i in range(len(features))]
     sort_by = ["_seen"] if order == "input" else raw
@@ -124,13 +127,13 @@ def prepare_points(
     )
     ready = assemble_features(fixed, names, output="features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield PreparedPoints(ready, tuple(features), tuple(factors), n_distinct, n_rows, partitions)
+        yield PreparedPoints(ready, tuple(features), tuple(factors), tuple(means), n_distinct, n_rows, partitions)
     finally:
         ready.unpersist()
 
 
 def _scaling(points: DataFrame, raw: Sequence[str], features: Sequence[str]):
-    """Counts, and per feature the factor that brings the rows to unit sample deviation."""
+    """Counts, and per feature the factor that brings the rows to unit sample deviation, and the mean."""
     weight = F.col("_w")
     total = F.sum(weight)
     first = points.agg(
@@ -143,13 +146,14 @@ def _scaling(points: DataFrame, raw: Sequence[str], features: Sequence[str]):
     if bad:
         raise ValueError(f"null or NaN in features {bad}; handle_invalid='skip' leaves such rows out")
     n_rows = first["rows"] or 0
+    means = [first[f"mean_{r}"] or 0.0 for r in raw]
     if n_rows < 2:
-        return first["distinct"], n_rows, [0.0] * len(raw)
+        return first["distinct"], n_rows, [0.0] * len(raw), means
     squares = points.agg(
         *(F.sum(weight * F.pow(F.col(r) - F.lit(first[f"mean_{r}"]), 2.0)).alias(r) for r in raw)
     ).first()
     deviations = [math.sqrt(squares[r] / (n_rows - 1)) for r in raw]
-    return first["distinct"], n_rows, [1.0 / d if d else 0.0 for d in deviations]
+    return first["distinct"], n_rows, [1.0 / d if d else 0.0 for d in deviations], means
 
 
 # --- silhouette ----------------------------------------------------------------
@@ -162,7 +166,7 @@ def silhouette(
     *,
     labelling: str | None = None,
     weight: str | None = None,
-    max_clusters: int = 20_000,
+    chunk: int = CLUSTER_CHUNK,
 ) -> DataFrame:
     """Mean silhouette with squared Euclidean distance: ``(<labelling>, n_clusters, silhouette)``.
 
@@ -171,11 +175,11 @@ def silhouette(
     a cluster does not count. One cluster alone scores null.
 
     The mean distance from a row to a cluster follows from the cluster's count, sum
-    and sum of squares. One pass makes these sums, a second scores each row against
-    them. The sums are all that goes to every task; more than ``max_clusters`` of them
-    is an error.
+    and sum of squares. One pass makes these sums, which are checkpointed; a second
+    scores each row against them. They go to the tasks in chunks of ``chunk``
+    clusters, and the nearest other cluster is folded over the chunks, so any number
+    of clusters is scored.
     """
-    spark = df.sparkSession
     label = col(labelling) if labelling else F.lit(0)
     rows = df.where(col(cluster).isNotNull()).select(
         label.alias("_l"),
@@ -189,47 +193,48 @@ def silhouette(
     sums = rows.groupBy("_l", "_c").agg(
         F.sum(w).alias("n"), F.sum(w * norm).alias("norm"), *(F.sum(w * v).alias(f"s{i}") for i, v in enumerate(x))
     )
-    clusters = sums.select(
-        "_l", "_c", F.col("n").cast("double"), F.col("norm") / F.col("n"),
-        F.array(*(F.col(f"s{i}") / F.col("n") for i in range(len(x)))),
-    ).limit(max_clusters + 1).collect()
-    if len(clusters) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters")
-    tables: dict = {}
-    for lab, *entry in clusters:
-        tables.setdefault(lab, []).append(tuple(entry))
-    entry_type = T.StructType(
-        [
-            T.StructField("id", rows.schema["_c"].dataType),
-            T.StructField("n", T.DoubleType()),
-            T.StructField("norm", T.DoubleType()),
-            T.StructField("mean", T.ArrayType(T.DoubleType())),
-        ]
+    entry = F.struct(
+        F.col("_c").alias("id"),
+        F.col("n").cast("double").alias("n"),
+        (F.col("norm") / F.col("n")).alias("norm"),
+        F.array(*(F.col(f"s{i}") / F.col("n") for i in range(len(x)))).alias("mean"),
     )
-    table_type = T.StructType(
-        [T.StructField("_t", rows.schema["_l"].dataType), T.StructField("_clusters", T.ArrayType(entry_type))]
+    order = Window.partitionBy("_l").orderBy("_c")
+    numbered = sums.select(
+        F.col("_l").alias("_t"),
+        F.floor((F.row_number().over(order) - 1) / chunk).cast("int").alias("_chunk"),
+        F.count(F.lit(1)).over(Window.partitionBy("_l")).cast("int").alias("_k"),
+        entry.alias("_entry"),
     )
-    table = spark.createDataFrame(list(tables.items()), table_type)
-    if labelling:
-        rows = rows.join(F.broadcast(table), F.col("_l").eqNullSafe(F.col("_t")))
-    else:
-        rows = rows.withColumn("_clusters", table.select("_clusters").scalar())
+    ensure_checkpoint_dir(df.sparkSession)
+    table = numbered.groupBy("_t", "_chunk", "_k").agg(F.collect_list("_entry").alias("_clusters")).checkpoint()
+    chunks = (table.agg(F.max("_chunk")).first()[0] or 0) + 1
 
     def distance(c: Column) -> Column:
         cross = _total(v * c["mean"][i] for i, v in enumerate(x))
         # Rounding may leave a tiny negative where the distance is zero.
         return F.greatest(norm + c["norm"] - cross * 2, F.lit(0.0))
 
-    mine = F.filter("_clusters", lambda c: c["id"] == F.col("_c"))[0]
-    others = F.filter("_clusters", lambda c: c["id"] != F.col("_c"))
-    scored = rows.select("*", mine.alias("_mine")).select(
+    for i in range(chunks):
+        part = table.where(F.col("_chunk") == i).select("_t", F.col("_k").alias(f"_k{i}"), "_clusters")
+        met = rows.join(F.broadcast(part), F.col("_l").eqNullSafe(F.col("_t")), "left")
+        mine = F.get(F.filter("_clusters", lambda c: c["id"] == F.col("_c")), F.lit(0))
+        others = F.filter("_clusters", lambda c: c["id"] != F.col("_c"))
+        near = F.array_min(F.transform(others, distance))
+        if i:
+            mine, near = F.coalesce("_mine", mine), F.least("_other", near)
+        rows = met.select(
+            "_l", "_c", "_w", *(f"_x{j}" for j in range(len(x))),
+            F.col("_k0" if not i else "_k").alias("_k"), mine.alias("_mine"), near.alias("_other"),
+        )
+    scored = rows.select(
         "_l",
         "_w",
-        F.size("_clusters").alias("_k"),
+        "_k",
         F.col("_mine.n").alias("n"),
         # The mean over the rest of the own cluster leaves out the row itself.
         (distance(F.col("_mine")) * F.try_divide(F.col("_mine.n"), F.col("_mine.n") - 1)).alias("own"),
-        F.array_min(F.transform(others, distance)).alias("other"),
+        F.col("_other").alias("other"),
     )
     own, other = F.col("own"), F.col("other")
     score = F.when((F.col("n") == 1) | (own == other), 0.0).otherwise(
@@ -256,19 +261,23 @@ class ClusterModel:
     kmeans: KMeansModel
     features: tuple[str, ...]
     factors: tuple[float, ...]
+    means: tuple[float, ...]
 
     @property
     def n_clusters(self) -> int:
         return len(self.kmeans.clusterCenters())
 
     def centers(self, spark: SparkSession) -> DataFrame:
-        """One row per center, in the original units: ``(cluster_id, center_<feature>..)``."""
+        """One row per center, in the original units: ``(cluster_id, center_<feature>..)``.
+
+        A constant feature has no scale to undo; its center is its one value.
+        """
         schema = T.StructType(
             [T.StructField("cluster_id", T.IntegerType())]
             + [T.StructField(f"center_{f}", T.DoubleType()) for f in self.features]
         )
         rows = [
-            (i, *(float(v / f) if f else 0.0 for v, f in zip(center, self.factors, strict=True)))
+            (i, *(float(v / f) if f else m for v, f, m in zip(center, self.factors, self.means, strict=True)))
             for i, center in enumerate(self.kmeans.clusterCenters())
         ]
         return spark.createDataFrame(rows, schema)
@@ -303,10 +312,10 @@ def distance_to_center(
     """Look up each row's center and add ``center_<feature>..`` and ``distance_from_center``.
 
     A row whose cluster has no center gets center 0. The distance is taken to the
-    rounded center. The lookup is a broadcast join where the number of centers is
-    known to be small.
+    rounded center. The lookup is a broadcast join where the centers are known to
+    take few bytes.
     """
-    if n_centers is not None and n_centers <= BROADCAST_CENTERS:
+    if n_centers is not None and n_centers * 8 * (len(features) + 1) <= BROADCAST_CENTER_BYTES:
         centers = F.broadcast(centers)
     joined = assigned.join(centers, "cluster_id", "left")
     names = [f"center_{f}" for f in features]
@@ -323,28 +332,10 @@ def distance_to_center(
     )
 
 
-# From this many points on, fitting works on blocks of vectors: on short dense
-# vectors that takes a third to a half of the time, with the same result.
-BLOCK_POINTS = 1_000
-
-
 def fit_kmeans(points: PreparedPoints, k: int, *, seed: int = SEED) -> ClusterModel:
-    """K-means with the library's defaults."""
-
-    def fit(solver: str) -> ClusterModel:
-        estimator = KMeans(featuresCol="features", weightCol="_w", k=k, seed=seed, solver=solver)
-        return ClusterModel(estimator.fit(points.frame), points.features, points.factors)
-
-    if points.n_distinct < BLOCK_POINTS:
-        return fit("row")
-    try:
-        return fit("block")
-    except (Py4JJavaError, PySparkException) as error:
-        # The block solver breaks off when the starting points found are fewer than
-        # k, which the row solver allows.
-        if "ArrayIndexOutOfBounds" not in str(error):
-            raise
-        return fit("row")
+    """K-means with the library's defaults, by the same solver for any number of points."""
+    estimator = KMeans(featuresCol="features", weightCol="_w", k=k, seed=seed, solver="row")
+    return ClusterModel(estimator.fit(points.frame), points.features, points.factors, points.means)
 
 
 @dataclass(frozen=True)

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.functions.columns import col
@@ -13,15 +12,14 @@ from metricspark.functions.columns import col
 DIRECTIONS = ("highest", "lowest")
 
 
-def _order(metric: str, direction: str, ties: Sequence[str], nulls: str) -> list:
+def _key(metric: str, direction: str, nulls: str) -> tuple[Column, Column]:
+    """What sorts first, then the value as it sorts upwards."""
     value = col(metric)
     if direction == "highest":
-        first = value.desc_nulls_last()
-    elif nulls == "last":
-        first = value.asc_nulls_last()
-    else:
-        first = value.asc_nulls_first()
-    return [first, *(col(t).asc_nulls_last() for t in ties)]
+        # NaN is above every number; turned round it would come last
+        first = F.when(value.isNull(), 1).when(F.isnan(value.cast("double")), -1).otherwise(0)
+        return first, -value
+    return F.when(value.isNull(), 1 if nulls == "last" else -1).otherwise(0), value
 
 
 def ranked_extremes(
@@ -41,24 +39,21 @@ def ranked_extremes(
     ranks last; ``nulls="spark"`` puts it first in the ``lowest`` lists, as a plain
     ascending sort does.
 
-    Over all rows each list is a sort and limit in one step, which keeps ``k``
-    rows a task. Per group the rank filter is pushed below the exchange, which
-    keeps ``k`` rows per group and task: a group of any size stays cheap.
+    Each row is set out once for every list, and all lists are ranked in one window
+    over (group, label). The rank filter is pushed below its exchange, which keeps
+    ``k`` rows per group, list and task: a group of any size stays cheap.
     """
     if nulls not in ("last", "spark"):
         raise ValueError(f"unknown null order {nulls!r}")
-    lists = []
+    entries = []
     for metric in metrics:
         for direction in DIRECTIONS:
-            order = _order(metric, direction, ties, nulls)
+            first, value = _key(metric, direction, nulls)
             label = F.lit(f"{direction}_{(labels or {}).get(metric, metric)}")
-            if by:
-                window = Window.partitionBy(*(col(b) for b in by)).orderBy(*order)
-                ranked = df.withColumn("rank", F.row_number().over(window)).where(F.col("rank") <= k)
-                lists.append(ranked.withColumn("label", label))
-            else:
-                top = df.orderBy(*order).limit(k).withColumn("label", label)
-                window = Window.partitionBy("label").orderBy(*order)
-                lists.append(top.withColumn("rank", F.row_number().over(window)))
-    everything = reduce(lambda a, b: a.unionByName(b), lists)
-    return everything.select(*(col(c) for c in df.columns), "label", "rank")
+            entries.append(F.struct(label.alias("label"), first.alias("_first"), value.alias("_value")))
+    lists = df.select("*", F.inline(F.array(*entries)))
+    order = Window.partitionBy(*(col(b) for b in by), "label").orderBy(
+        "_first", "_value", *(col(t).asc_nulls_last() for t in ties)
+    )
+    ranked = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select(*(col(c) for c in df.columns), "label", "rank")

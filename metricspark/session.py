@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -24,6 +23,7 @@ def build_session(app_name: str = "metricspark", master: str | None = None, **co
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     for key, value in settings.items():
@@ -34,14 +34,14 @@ def build_session(app_name: str = "metricspark", master: str | None = None, **co
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a scratch folder.
+    Only a local session may go without it; it then uses its warehouse folder.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="metricspark-")
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/metricspark-work"
     spark.sparkContext.setCheckpointDir(root)
     return root
 

@@ -74,6 +74,23 @@ def write_zoned(
     )
 
 
+def read_zoned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read Parquet that may lie in folders by zone, with ``schema`` or the one found.
+
+    Without a schema, folder names are text, as a zone is: ``007`` stays ``007`` and
+    does not become the number 7.
+    """
+    if schema is None:
+        key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        before = spark.conf.get(key)
+        spark.conf.set(key, "false")
+        try:
+            return spark.read.parquet(path)
+        finally:
+            spark.conf.set(key, before)
+    return spark.read.schema(schema).parquet(path)
+
+
 def csv_to_parquet(
     spark: SparkSession,
     sources: str | list[str],
@@ -91,4 +108,4 @@ def csv_to_parquet(
     """
     records = clean(read_text_csv(spark, sources, columns), select=select, where=where)
     write_zoned(records, target, zone_col=zone_col, sort_by=sort_by)
-    return spark.read.schema(records.schema).parquet(target)
+    return read_zoned(spark, target, records.schema)

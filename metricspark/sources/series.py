@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from metricspark.functions.columns import col
 from metricspark.functions.parsing import parse_time, to_double
+from metricspark.sources.ingest import read_zoned
 from metricspark.spec import SeriesSpec
 
 
@@ -65,11 +66,11 @@ def read_series(
     if isinstance(source, str):
         if not isinstance(spec, SeriesSpec):
             raise ValueError("one dataset takes one spec")
-        series = series_of(spark.read.parquet(source), spec)
+        series = series_of(read_zoned(spark, source), spec)
     else:
         spec_of = spec.__getitem__ if isinstance(spec, Mapping) else lambda _zone: spec
         series = union_zones(
-            series_of(spark.read.parquet(path), spec_of(zone), zone) for zone, path in source.items()
+            series_of(read_zoned(spark, path), spec_of(zone), zone) for zone, path in source.items()
         )
     if zones is not None:
         series = series.where(F.col("zone").isin(list(zones)))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from metricspark.sources.ingest import clean
+from metricspark.sources.ingest import clean, read_zoned
 
 
 def land_csv(
@@ -21,6 +22,7 @@ def land_csv(
     select: Mapping[str, str] | None = None,
     where: str | None = None,
     partition_by: str | None = None,
+    files_per_zone: int = 4,
     max_files: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
@@ -31,12 +33,18 @@ def land_csv(
     broken off and started again. Without ``interval`` the query ends when all
     files present have been landed, in batches of ``max_files``; with it the query
     stays and looks for files at that interval.
+
+    With ``partition_by`` a batch's rows are dealt by zone and a salt, so each zone
+    gets at most ``files_per_zone`` files a batch.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     records = clean(reader.csv(source), select=select, where=where)
+    if partition_by is not None:
+        salt = F.pmod(F.xxhash64(*records.columns), F.lit(files_per_zone))
+        records = records.repartition(F.col(partition_by), salt)
     writer = records.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition_by is not None:
         writer = writer.partitionBy(partition_by)
@@ -46,4 +54,4 @@ def land_csv(
 
 def landed(spark: SparkSession, target: str) -> DataFrame:
     """The records landed so far; files of a broken-off batch are not seen."""
-    return spark.read.parquet(target)
+    return read_zoned(spark, target)

@@ -82,16 +82,21 @@ def test_published_clusters(countries):
     assert all(r["n_clusters"] <= k for k, r in scores.items())
 
 
-def test_fits_on_blocks_agree_also_with_fewer_centers_than_k(countries, monkeypatch):
-    monkeypatch.setattr(clustering, "BLOCK_POINTS", 0)
+def test_a_fit_may_end_with_fewer_centers_than_k(countries):
     with prepare_points(countries, ["carbon-intensity"]) as points:
-        blocks = sweep_k(points, min_k=8, max_k=30)
-        monkeypatch.undo()
-        by_rows = sweep_k(points, min_k=8, max_k=30)
-    assert blocks.best_k == by_rows.best_k == 8
-    for a, b in zip(rows(blocks.scores), rows(by_rows.scores), strict=True):
-        assert a == pytest.approx(b)
-    assert blocks.scores.where("k = 30").first()["n_clusters"] == 29
+        sweep = sweep_k(points, min_k=8, max_k=30)
+    assert sweep.best_k == 8
+    assert sweep.scores.where("k = 30").first()["n_clusters"] == 29
+
+
+def test_center_of_a_constant_feature_is_its_value(spark):
+    frame = spark.createDataFrame([(1, 1.0, 5.0), (2, 2.0, 5.0), (3, 10.0, 5.0), (4, 11.0, 5.0)], "id int, x double, y double")
+    with prepare_points(frame, ["x", "y"], order="value") as points:
+        model = sweep_k(points, max_k=2).model
+    assert sorted(r["center_x"] for r in model.centers(spark).collect()) == pytest.approx([1.5, 10.5])
+    assigned = model.assign(frame).collect()
+    assert {r["center_y"] for r in assigned} == {5.0}
+    assert {r["distance_from_center"] for r in assigned} == {0.5}
 
 
 def test_published_report(countries):
@@ -203,8 +208,16 @@ def test_silhouettes_of_several_clusterings_at_once(spark):
     assert -1 <= both["b"] < both["a"] <= 1
     alone = silhouette(frame.withColumn("c", F.lit(1)), ["v"], "c").first()
     assert (alone["n_clusters"], alone["silhouette"]) == (1, None)
-    with pytest.raises(ValueError, match="more than 3 clusters"):
-        silhouette(frame.withColumn("c", F.col("v")), ["v"], "c", max_clusters=3)
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 100])
+def test_silhouette_is_the_same_in_chunks_of_clusters(spark, chunk):
+    rng = random.Random(chunk)
+    frame = spark.createDataFrame([(rng.random() * 9, rng.random()) for _ in range(80)], "v double, u double")
+    frame = frame.withColumn("c", F.floor("v").cast("int"))
+    whole, cut = (silhouette(frame, ["v", "u"], "c", **kw).first() for kw in ({}, {"chunk": chunk}))
+    assert cut["n_clusters"] == whole["n_clusters"] == 9
+    assert cut["silhouette"] == pytest.approx(whole["silhouette"])
 
 
 def test_scores_are_the_same_in_batches(spark, monkeypatch):

@@ -145,3 +145,33 @@ def test_catalogue_reads_zone_and_year_from_names(spark, tmp_path):
 def test_view_is_visible_to_sql(spark, readings):
     name = register_view(readings, "readings_z")
     assert spark.sql(f"SELECT count(*) AS n FROM {name}").first()["n"] == 5
+
+
+def test_catalogue_query_keeps_every_zone_and_missing_dates(spark, tmp_path):
+    from metricspark.catalog import QUERIES
+
+    orders = spark.createDataFrame(
+        [(1, "F", "2021-01-05 00:00:00"), (2, "X", "2022-03-01 00:00:00"), (3, "O", None), (4, None, "2021-01-05 00:00:00")],
+        "o_custkey int, o_orderstatus string, d string",
+    ).selectExpr("o_custkey", "o_orderstatus", "cast(d as timestamp_ntz) as o_orderdate", "o_custkey * 1.5D as o_totalprice")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    found = {(r["zone"], r["year"], r["price"]) for r in QUERIES["ingest_catalogue"](spark, str(tmp_path)).collect()}
+    assert found == {("F", 2021, 1.5), ("X", 2022, 3.0), ("O", None, 4.5), (None, 2021, 6.0)}
+
+
+def test_zones_that_look_like_numbers_stay_text(spark, tmp_path):
+    from metricspark.sources import read_series, write_zoned
+    from metricspark.spec import SeriesSpec
+    from metricspark.streaming import land_csv
+    from metricspark.streaming.landing import landed
+
+    rows = [("007", "2021-01-01 00:00:00", 1.0), ("010", "2021-01-02 00:00:00", 2.0)]
+    frame = spark.createDataFrame(rows, "zone string, t string, m double")
+    write_zoned(frame, str(tmp_path / "zoned"))
+    spec = SeriesSpec(time_col="t", zone_col="zone", metrics={"m": "m"}, time_format="yyyy-MM-dd HH:mm:ss")
+    assert {r["zone"] for r in read_series(spark, str(tmp_path / "zoned"), spec).collect()} == {"007", "010"}
+    frame.write.option("header", True).csv(str(tmp_path / "csv"))
+    land_csv(
+        spark, str(tmp_path / "csv"), str(tmp_path / "landed"), str(tmp_path / "marks"), ["zone", "t", "m"], partition_by="zone"
+    ).awaitTermination()
+    assert {r["zone"] for r in landed(spark, str(tmp_path / "landed")).collect()} == {"007", "010"}
