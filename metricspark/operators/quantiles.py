@@ -14,6 +14,11 @@ from metricspark.session import ensure_checkpoint_dir
 QUARTILES = (0.25, 0.5, 0.75)
 
 BROADCAST_TARGETS = 100_000
+# Sketches that one task merges, whatever the number of scan tasks.
+SKETCH_GROUPS = 256
+# Distinct readings that one task sorts for a running count.
+WINDOW_VALUES = 1_000_000
+SPLITS = 64
 
 
 def quantile_name(p: float) -> str:
@@ -56,6 +61,7 @@ def series_quantiles(
     approx: bool = False,
     accuracy: int = 10_000,
     buckets: int = 1024,
+    window_values: int = WINDOW_VALUES,
 ) -> DataFrame:
     """Quantiles of raw readings for each group, exact whatever the group's size.
 
@@ -63,13 +69,15 @@ def series_quantiles(
     the two columns three times, the first two at once, and never holds a group in
     one task:
 
-    1. ``buckets`` - 1 cut points are taken from one sketch over all readings. As
-       they split the readings evenly, a (group, bucket) pair holds no more than
-       about 1/``buckets`` of all rows, apart from repeats of one value.
+    1. ``buckets`` - 1 cut points are taken from one sketch over all readings, which
+       is merged in two levels. As they split the readings evenly, a (group, bucket)
+       pair holds no more than about 1/``buckets`` of all rows, apart from repeats of
+       one value.
     2. Counting readings per (group, bucket) tells in which bucket each wanted
        rank lies. Partial counts keep this exchange small.
-    3. Only the readings of those buckets are counted per distinct value, and a
-       running count within the bucket gives the value at the rank.
+    3. Only the readings of those buckets are counted per distinct value. Buckets
+       with more than ``window_values`` distinct ones are split and counted again
+       until there is none; then a running count gives the value at the rank.
 
     The cut points only steer the work: any choice gives the same, exact result.
     """
@@ -84,26 +92,64 @@ def series_quantiles(
         found = values.groupBy(*keys).agg(sketch.alias("_q"))
         picked = [F.col("_q")[i] for i in range(len(probs))]
     else:
-        found, picked = _exact(values, keys, probs, buckets)
+        found, picked = _exact(values, keys, probs, buckets, window_values)
     return found.select(
         *(F.col(k).alias(b) for b, k in zip(by, keys, strict=True)),
         *(rounded(q, digits).alias(quantile_name(p)) for q, p in zip(picked, probs, strict=True)),
     )
 
 
+def _sketch(parts: int) -> str:
+    return f"kll_sketch_agg_double(_v, {min(8 * parts, 65_535)})"
+
+
+def _quantiles_of(sketch: str, parts: int) -> str:
+    probs = ", ".join(f"{i / parts!r}D" for i in range(1, parts))
+    return f"kll_sketch_get_quantile_double({sketch}, array({probs}))"
+
+
 def _cut_points(values: DataFrame, buckets: int) -> list[float]:
-    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(_v, array({probs}), {10 * buckets})")
-    row = values.where(~F.isnan("_v")).agg(sketch.alias("cuts")).first()
+    known = values.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    grouped = known.withColumn("_g", F.spark_partition_id() % SKETCH_GROUPS).groupBy("_g")
+    sketches = grouped.agg(F.expr(_sketch(buckets)).alias("_s"), F.count(F.lit(1)).alias("_rows"))
+    merged = sketches.agg(F.expr("kll_merge_agg_double(_s)").alias("_m"), F.sum("_rows").alias("_rows"))
+    row = merged.select(F.expr(f"case when _rows > 0 then {_quantiles_of('_m', buckets)} end").alias("cuts")).first()
     finite = (c for c in row["cuts"] or [] if abs(c) != float("inf"))
     return [float("-inf"), *sorted(set(finite) or {0.0}), float("inf")]
 
 
-def _exact(values: DataFrame, keys: list[str], probs: Sequence[float], buckets: int):
+def _split(hits: DataFrame, targets: DataFrame, place: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cuts the buckets of ``hits`` in ``SPLITS``; keeps those in which the wanted ranks lie."""
+    finite = hits.where(~F.isnan("_v") & (F.abs("_v") < float("inf")))
+    cuts = finite.groupBy(*place).agg(F.expr(_sketch(SPLITS)).alias("_s")).select(
+        *place, F.expr(_quantiles_of("_s", SPLITS)).alias("_cuts")
+    )
+    placed = null_safe_join(hits, cuts, place, "left").withColumn(
+        "_sub", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))), F.lit(0))
+    ).drop("_cuts")
+    running = Window.partitionBy(*place).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*place, "_sub").agg(F.sum("_times").alias("_rows"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
+    inside = (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_rows"))
+    deeper = F.concat_ws("/", "_bucket", "_sub")
+    found = null_safe_join(targets, counts, place, "left", also=inside)
+    targets = found.select(
+        *(F.when(F.col("_sub").isNull(), F.col(c)).otherwise(deeper).alias(c) if c == "_bucket" else F.col(c) for c in place),
+        "_i",
+        "_side",
+        "_fraction",
+        (F.col("_rank") - F.coalesce("_before", F.lit(0))).alias("_rank"),
+    ).checkpoint()
+    hits = placed.withColumn("_bucket", deeper).drop("_sub")
+    return null_safe_join(hits, targets.select(*place).distinct(), place, "left_semi"), targets
+
+
+def _exact(values: DataFrame, keys: list[str], probs: Sequence[float], buckets: int, window_values: int):
     # handleInvalid="keep" gives NaN the last bucket, which is also its sort order.
     bucketed = Bucketizer(
         splits=_cut_points(values, buckets), inputCol="_v", outputCol="_bucket", handleInvalid="keep"
     ).transform(values)
+    bucketed = bucketed.withColumn("_bucket", F.col("_bucket").cast("int"))
 
     group = Window.partitionBy(*keys)
     running = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +183,7 @@ def _exact(values: DataFrame, keys: list[str], probs: Sequence[float], buckets:
             (F.col("_n") == 0)
             | ((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_rows")))
         )
-        .select(*keys, "_bucket", "_i", "_side", "_fraction", (F.col("_rank") - F.col("_before")).alias("_rank"))
+        .select(*keys, F.col("_bucket").cast("string").alias("_bucket"), "_i", "_side", "_fraction", (F.col("_rank") - F.col("_before")).alias("_rank"))
     )
 
     # The targets are few, but how few depends on the number of groups. They are
@@ -148,14 +194,17 @@ def _exact(values: DataFrame, keys: list[str], probs: Sequence[float], buckets:
     needed = targets.select(*place).distinct()
     if targets.count() <= BROADCAST_TARGETS:
         needed = F.broadcast(needed)
-    hits = bucketed.where(F.col("_v").isNotNull())
+    hits = bucketed.where(F.col("_v").isNotNull()).withColumn("_bucket", F.col("_bucket").cast("string"))
     hits = null_safe_join(hits, needed, place, "left_semi")
+    hits = hits.groupBy(*place, "_v").agg(F.count(F.lit(1)).alias("_times"))
+    while True:
+        hits = hits.checkpoint()
+        most = hits.groupBy(*place).count().agg(F.max("count")).first()[0] or 0
+        if most <= window_values:
+            break
+        hits, targets = _split(hits, targets, place)
     per_value = Window.partitionBy(*place).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    hits = (
-        hits.groupBy(*place, "_v")
-        .agg(F.count(F.lit(1)).alias("_times"))
-        .withColumn("_from", F.coalesce(F.sum("_times").over(per_value), F.lit(0)))
-    )
+    hits = hits.withColumn("_from", F.coalesce(F.sum("_times").over(per_value), F.lit(0)))
 
     at_rank = (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_from") + F.col("_times"))
     found = null_safe_join(targets, hits, place, "left", also=at_rank)

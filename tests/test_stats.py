@@ -197,8 +197,8 @@ def test_interpolation(spark):
     assert rows(empty) == [(None,) * 5]
 
 
-@pytest.mark.parametrize("buckets", [2, 7, 64])
-def test_series_quantiles_against_brute_force(spark, buckets):
+@pytest.mark.parametrize("buckets, window_values", [(2, 1_000_000), (2, 3), (7, 20), (64, 1)])
+def test_series_quantiles_against_brute_force(spark, buckets, window_values):
     rng = random.Random(buckets)
     data = [("hot", 1.0) for _ in range(400)]  # one value many times over
     data += [("hot", rng.gauss(0, 10)) for _ in range(500)]
@@ -208,7 +208,7 @@ def test_series_quantiles_against_brute_force(spark, buckets):
     frame = spark.createDataFrame(data, "zone string, v double").repartition(3)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
     found = {r["zone"]: list(r)[1:] for r in series_quantiles(
-        frame, ["zone"], "v", probs=probs, buckets=buckets, digits=None
+        frame, ["zone"], "v", probs=probs, buckets=buckets, window_values=window_values, digits=None
     ).collect()}
     assert set(found) == {"hot", "wide", None, "one", "empty"}
     assert found["empty"] == [None] * 6
@@ -247,3 +247,15 @@ def test_approximate_quantiles_come_close(spark):
     assert tuple(found) == pytest.approx((2500, 5000, 7500), abs=2)
     with pytest.raises(ValueError, match="between 0 and 1"):
         series_quantiles(frame, [], "v", probs=[1.5])
+
+
+def test_cut_points_do_not_meet_in_one_task_by_scan_task(spark):
+    """Sketches of scan tasks are merged in groups; only the groups' sketches meet in one."""
+    from metricspark.operators import quantiles
+
+    assert quantiles.SKETCH_GROUPS <= 1_000
+    values = spark.range(0, 5_000, 1, 40).selectExpr("cast(id as double) as _v")
+    cuts = quantiles._cut_points(values, 8)
+    assert len(cuts) == 9
+    assert [round(c / 625) for c in cuts[1:-1]] == list(range(1, 8))
+    assert quantiles._cut_points(values.where("_v < 0"), 8) == [float("-inf"), 0.0, float("inf")]
