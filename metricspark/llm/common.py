@@ -79,24 +79,33 @@ class PieceEncoder:
     encoded, and their ids are gathered for all texts. What is remembered is bounded.
     """
 
-    SLICE = 1_000
+    SLICE = 4_000
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str, limit: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str, limit: int = 150_000):
         self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
-        self.known: dict[str, bytes] = {}
+        # two generations: what is met again moves to the young one, the old one is dropped
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _look(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        got = list(map(known.get, words))
-        new = [i for i, g in enumerate(got) if g is None]
-        if len(known) + len(new) > self.limit:
-            known.clear()
+        young, old = self.young, self.old
+        got = list(map(young.get, words))
+        new = []
+        for i in [i for i, g in enumerate(got) if g is None]:
+            known = old.get(words[i])
+            if known is None:
+                new.append(i)
+            else:
+                got[i] = young[words[i]] = known
         for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for i, coded in zip(some, self.encode([words[i] for i in some])):
-                got[i] = coded
-                if len(known) < self.limit:
-                    known[words[i]] = coded
+            some = [words[i] for i in new[start : start + 10_000]]
+            coded = self.encode(some)
+            got_part = dict(zip(some, coded))
+            for i, c in zip(new[start : start + 10_000], coded):
+                got[i] = c
+            young.update(got_part)
+        if len(young) >= self.limit:
+            self.old, self.young = young, {}
         return got
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

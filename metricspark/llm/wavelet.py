@@ -37,14 +37,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from metricspark.llm.common import Memo, tokenizer_path
+from metricspark.llm.common import Memo, PieceEncoder, bound_batches, tokenizer_path
 from metricspark.session import work_path
 
 MAGIC = b"WMX1"
 END_ID = 2
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
-MEMO_ENTRIES = 600_000
+REMEMBERED = 400_000  # pieces of a generation
+GROUP_BYTES = 16 << 20  # of texts encoded together
 
 MANIFEST = "first_doc long, part int, seq int, path string, n_docs long, n_tokens long"
 PER_DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -197,33 +198,24 @@ class WaveletFile:
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library; pieces between blanks are encoded once.
+    """Ids by the tokenizers library, each distinct piece between blanks encoded once.
 
     Blanks and line feeds are dropped by this vocabulary's normaliser and never lie
-    within a token, so the library's ids of a text are those of its pieces.
+    within a token, so the library's ids of a text are those of its pieces. The
+    vocabulary has fewer than 65,536 ids, so 16 bits hold one.
     """
 
-    def __init__(self, path: str, limit: int = MEMO_ENTRIES):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.limit = limit
-        self.known: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as 16-bit integers (the vocabulary has fewer than 65,536)."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        new = list({p for pieces in split for p in pieces if p not in known})
-        for start in range(0, len(new), 10_000):
-            part = new[start : start + 10_000]
-            for piece, got in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = np.array(got.ids, "<u2").tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        self.pieces = PieceEncoder(self._encode, "<u2", limit=REMEMBERED)
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return [np.array(c.ids, "<u2").tobytes() for c in coded]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -245,6 +237,7 @@ def open_folder(url: str) -> tuple[pafs.FileSystem, str]:
 
 def write_shards(documents: DataFrame, folder: str, path: str | None = None, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Writes the shards and returns the manifest, itself stored in ``folder``."""
+    bound_batches(documents.sparkSession)
     path = path or tokenizer_path()
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,16 +266,27 @@ def write_shards(documents: DataFrame, folder: str, path: str | None = None, end
                 names=["first_doc", "part", "seq", "path", "n_docs", "n_tokens"],
             )
 
-        for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                some = batch.slice(start, 500)
-                coded = encoder.encode([t or "" for t in some.column(1).to_pylist()])
-                for doc_id, got in zip(some.column(0).to_pylist(), coded):
-                    doc_ids.append(doc_id)
-                    ids.append(got + end)
-                    size += len(ids[-1]) // 2
-                    if size >= shard_tokens:
-                        yield close()
+        def grouped() -> Iterator[pa.Table]:
+            """Batches put together, so that a piece is looked up once for many texts."""
+            some, rows, held = [], 0, 0
+            for batch in batches:
+                some.append(batch)
+                rows, held = rows + batch.num_rows, held + batch.nbytes
+                if rows >= PieceEncoder.SLICE or held >= GROUP_BYTES:
+                    yield pa.Table.from_batches(some).combine_chunks()
+                    some, rows, held = [], 0, 0
+            if some:
+                yield pa.Table.from_batches(some).combine_chunks()
+
+        for group in grouped():
+            texts = group.column(1).combine_chunks().fill_null("")
+            coded, at = encoder.pieces(texts)
+            for doc_id, a, b in zip(group.column(0).to_pylist(), at, at[1:]):
+                doc_ids.append(doc_id)
+                ids.append(coded[a:b].tobytes() + end)
+                size += len(ids[-1]) // 2
+                if size >= shard_tokens:
+                    yield close()
         if doc_ids:
             yield close()
 
@@ -295,6 +299,7 @@ def write_shards(documents: DataFrame, folder: str, path: str | None = None, end
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, in the order of the files: doc_id, start, n_tokens, ids_crc32."""
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # one row per file, a few numbers each
     earlier = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     based = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)))
@@ -320,8 +325,8 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    # files are dealt by hash, so that each task reads a few
-    return based.select("path", "base").repartition("path").mapInArrow(read, PER_DOCUMENT)
+    # a fixed number of tasks: these small rows stand for large files
+    return based.select("path", "base").repartition(tasks, "path").mapInArrow(read, PER_DOCUMENT)
 
 
 def wavelet_result(documents: DataFrame) -> DataFrame:
