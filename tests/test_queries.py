@@ -17,6 +17,7 @@ TABLES = (
 ).split()
 SPARK_TO_SQL = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
 }
 
 
