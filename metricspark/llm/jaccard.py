@@ -11,10 +11,11 @@ The exact links between the others come from tiles:
   than ``REPORT`` a window. The list of frequent grams has at most one entry for
   ``REPORT`` grams of one window, whatever the corpus, and only that is broadcast.
 * In a tile, sets stand by size, and each is compared only with those of the size band
-  that the threshold allows. Parity bitmaps of ``BITS`` bits bound the overlap from
-  above: with d differing bits, two sets share at most (n + m - d) / 2 grams. What is
-  left is decided exactly on the sorted arrays.
-* First each set is tried with its neighbour in every tile. What links already needs
+  that the threshold allows, if what follows the gram in both could suffice. Parity
+  bitmaps of up to ``TILE_BITS`` bits bound the overlap from above: with d differing bits, two sets share at most (n + m - d) / 2 grams. Pairs
+  left by that meet full bitmaps, which have a bit for every gram and fold to any
+  smaller width; what is left then is decided exactly on the sorted arrays.
+* First each set is tried with some neighbours in every tile. What links already needs
   no further comparison, so the second step skips pairs within one component and
   whole tiles of one component: a family of thousands of near copies costs as much as
   its number, not its square. Tiles of more than ``BLOCK`` sets are cut in blocks,
@@ -32,50 +33,65 @@ without one link with nothing and have a null component; extra columns are ignor
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, bound_batches
+from metricspark.llm.common import bound_batches
 from metricspark.session import work_path
 
 WORDS = 5
 # likeness of at least 3/4: |a & b| * 7 >= 3 * (|a| + |b|)
-BITS = 512
+BITS = 512  # of the narrowest bitmap
+TILE_BITS = 2_048  # of the widest one in a tile
 WINDOW = 1 << 22
 REPORT = 8
 FREQUENT = 64
 BLOCK = 2_000
-MEMO_WORDS = 200_000
+# Each set is tried with those so many places before it in every tile.
+STEPS = (1, 2, 4, 8, 16)
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _MIX = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
 )
 
 # ---- sets -------------------------------------------------------------------
 
-_hashes = Memo(xxhash.xxh3_64_intdigest, MEMO_WORDS)
 
+def gram_sets(texts: pa.Array) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its word 5-grams (of the whole, with fewer words).
 
-def gram_set(text: str) -> np.ndarray:
-    """Sorted distinct hashes of the word 5-grams (of the whole, with fewer words)."""
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if len(words) < WORDS:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(words))] if words else [], np.uint64)
-    hashes = _hashes
-    each = np.fromiter((hashes[w] for w in words), np.uint64, len(words))
-    n = len(words) - WORDS + 1
-    gram = np.zeros(n, np.uint64)
+    Arrow cuts the words and finds the distinct ones of a batch; each is hashed once.
+    """
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = cut.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    codes = np.asarray(coded.indices)
+    filled = codes != (words.index(b"") if b"" in words else -1)  # blanks at an end leave an empty word
+    before = np.concatenate([[0], np.cumsum(filled)])
+    at = before[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+    each = hashes[codes[filled]]
+    gram = np.zeros(max(len(each) - WORDS + 1, 0), np.uint64)
     for j in range(WORDS):
-        gram = (gram ^ each[j : j + n]) * _MIX[j]
+        gram = (gram ^ each[j : j + len(gram)]) * _MIX[j]
         gram ^= gram >> np.uint64(29)
-    return np.unique(gram)
+    out = []
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+        if b - a >= WORDS:
+            out.append(np.unique(gram[a : b - WORDS + 1]))
+        else:
+            out.append(np.array([xxhash.xxh3_64_intdigest(each[a:b].tobytes())] if b > a else [], np.uint64))
+    return out
+
+
+def gram_set(text: str) -> np.ndarray:
+    return gram_sets(pa.array([text]))[0]
 
 
 def set_hash(grams: np.ndarray) -> int:
@@ -83,9 +99,20 @@ def set_hash(grams: np.ndarray) -> int:
 
 
 def bitmap(grams: np.ndarray) -> bytes:
-    """Bit i: whether an odd number of grams falls on i."""
-    counts = np.bincount((grams % np.uint64(BITS)).astype(np.int64), minlength=BITS)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+    """Bit i: whether an odd number of grams falls on i. At least a bit for every gram."""
+    width = max(BITS, 1 << (len(grams) - 1).bit_length()) if len(grams) else BITS
+    counts = np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(bits: bytes, size: int) -> np.ndarray:
+    """The bitmap of ``size`` bytes that the same grams have: parities add up."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def differing(a: bytes, b: bytes) -> int:
+    size = min(len(a), len(b))
+    return int(np.bitwise_count(fold(a, size) ^ fold(b, size)).sum(dtype=np.int64))
 
 
 def prefix(grams: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -133,8 +160,7 @@ def _profile(documents: DataFrame) -> DataFrame:
 
         for batch in batches:
             sizes, hashes, bits = [], [], []
-            for text in batch.column(1).to_pylist():
-                grams = gram_set(text)
+            for grams in gram_sets(batch.column(1)):
                 sizes.append(len(grams))
                 hashes.append(set_hash(grams))
                 bits.append(bitmap(grams))
@@ -156,14 +182,18 @@ def _narrow(documents: DataFrame) -> DataFrame:
 
 
 def _postings(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(gram, hash, n) of what every set shows."""
+    """(gram, hash, size) of what every set shows.
+
+    ``size`` holds the set's size in its upper and, in its lower 32 bits, how many of
+    its grams stand at this one or later in the common order: two sets whose first
+    common gram this is share no more than the lesser of these.
+    """
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shown, hashes, sizes, done = [], [], [], set()
-            for text in batch.column(1).to_pylist():
-                grams = gram_set(text)
+            for grams in gram_sets(batch.column(1)):
                 own = set_hash(grams)
                 if len(grams) and own not in done:
                     done.add(own)
@@ -175,61 +205,76 @@ def _postings(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
                 [
                     pa.array(np.concatenate([np.zeros(0, np.uint64), *shown]).astype(np.int64)),
                     pa.array(np.repeat(np.array(hashes, np.int64), lengths)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
+                    pa.array(
+                        np.concatenate(
+                            [np.zeros(0, np.int64), *((n << 32) + n - np.arange(k) for n, k in zip(sizes, lengths))]
+                        ).astype(np.int64)
+                    ),
                 ],
-                names=["gram", "hash", "n"],
+                names=["gram", "hash", "size"],
             )
 
-    return _narrow(documents.where(F.col("doc_id").isNotNull())).mapInArrow(scan, "gram long, hash long, n int")
+    return _narrow(documents.where(F.col("doc_id").isNotNull())).mapInArrow(scan, "gram long, hash long, size long")
+
+
+def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can link, this being their first common gram."""
+    n, m = size_a >> 32, size_b >> 32
+    most = np.minimum(np.minimum(size_a & 0xFFFFFFFF, size_b & 0xFFFFFFFF), np.minimum(n, m))
+    return 7 * most >= 3 * (n + m)
 
 
 def _shared_postings(postings: DataFrame) -> DataFrame:
-    """Postings whose gram another set shows too, with the set before in its tile.
+    """Postings whose gram another set shows too, with some sets before in the tile.
 
-    Rows arrive by gram, size and hash; one row is carried over, never a tile.
+    Rows arrive by gram, size and hash; ``max(STEPS)`` rows are carried, never a tile.
     """
+    reach = max(STEPS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carried = tuple(np.zeros(0, np.int64) for _ in range(3))  # at most the last two rows
-        fresh = 0  # how many of the carried rows were given out
+        none = np.zeros(0, np.int64)
+        held, given = (none, none, none), 0  # the last rows, and how many of them were given out
 
-        def emit(gram, hash_, n, start, stop):
+        def emit(gram, hash_, size, start, stop):
             same = np.zeros(len(gram) + 1, bool)  # with the row before
             same[1:-1] = gram[1:] == gram[:-1]
-            before = np.concatenate([[0], hash_[:-1]]) if len(hash_) else hash_
-            smaller = np.concatenate([[0], n[:-1]]) if len(n) else n
             keep = same[:-1] | same[1:]
             keep[:start] = False
             keep[stop:] = False
-            near = same[:-1] & (4 * smaller >= 3 * n)
+            rows = np.flatnonzero(keep)
+            mine, theirs = [], []
+            for step in STEPS:
+                here = rows[rows >= step]
+                here = here[gram[here] == gram[here - step]]
+                here = here[_open(size[here], size[here - step])]
+                mine.append(here)
+                theirs.append(hash_[here - step])
+            mine, theirs = np.concatenate(mine), np.concatenate(theirs)
+            order = np.argsort(mine, kind="stable")
+            ends = np.searchsorted(mine[order], rows, side="right")
+            before = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(theirs[order]))
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(gram[keep]),
-                    pa.array(hash_[keep]),
-                    pa.array(n[keep].astype(np.int32)),
-                    pa.array(before[keep], mask=~near[keep]),
-                ],
-                names=["gram", "hash", "n", "before"],
+                [pa.array(gram[rows]), pa.array(hash_[rows]), pa.array(size[rows]), before],
+                names=["gram", "hash", "size", "before"],
             )
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(3)]
-            gram, hash_, n = (np.concatenate(x) for x in zip(carried, new))
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            gram, hash_, size = (np.concatenate(x) for x in zip(held, new))
             first = np.ones(len(gram), bool)
             first[1:] = (gram[1:] != gram[:-1]) | (hash_[1:] != hash_[:-1])
-            given = min(fresh, len(gram))
-            gram, hash_, n = gram[first], hash_[first], n[first]
-            if len(gram) > 1:
-                yield emit(gram, hash_, n, given, len(gram) - 1)
-                carried, fresh = (gram[-2:], hash_[-2:], n[-2:]), 1
+            gram, hash_, size = gram[first], hash_[first], size[first]
+            if len(gram) > given + 1:  # the last row waits for the one after it
+                yield emit(gram, hash_, size, given, len(gram) - 1)
+                cut = max(len(gram) - 1 - reach, 0)
+                held, given = (gram[cut:], hash_[cut:], size[cut:]), len(gram) - 1 - cut
             else:
-                carried, fresh = (gram, hash_, n), 0
-        gram, hash_, n = carried
-        if len(gram):
-            yield emit(gram, hash_, n, fresh, len(gram))
+                held = (gram, hash_, size)
+        if len(held[0]) > given:
+            yield emit(*held, given, len(held[0]))
 
-    ordered = postings.repartition("gram").sortWithinPartitions("gram", "n", "hash")
-    return ordered.mapInArrow(scan, "gram long, hash long, n int, before long")
+    ordered = postings.repartition("gram").sortWithinPartitions("gram", "size", "hash")
+    return ordered.mapInArrow(scan, "gram long, hash long, size long, before array<long>")
 
 
 # ---- comparing and verifying ------------------------------------------------
@@ -237,8 +282,12 @@ def _shared_postings(postings: DataFrame) -> DataFrame:
 
 @F.arrow_udf(T.IntegerType())
 def _differing(a: pa.Array, b: pa.Array) -> pa.Array:
-    x, y = (np.frombuffer(b"".join(v.to_pylist()), np.uint8).reshape(len(v), BITS // 8) for v in (a, b))
-    return pa.array(np.bitwise_count(x ^ y).sum(1, dtype=np.int32))
+    return pa.array([differing(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.int32())
+
+
+@F.arrow_udf(T.BinaryType())
+def _folded(bits: pa.Array) -> pa.Array:
+    return pa.array([fold(x, min(len(x), TILE_BITS // 8)).tobytes() for x in bits.to_pylist()], pa.binary())
 
 
 @F.arrow_udf(T.BooleanType())
@@ -259,7 +308,7 @@ def _verify(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFram
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [gram_set(t) for t in batch.column(0).to_pylist()]
+            found = gram_sets(batch.column(0))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_hash(g) for g in found], pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())],
                 names=["hash", "grams"],
@@ -281,36 +330,50 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _neighbour_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    pairs = shared.where(F.col("before").isNotNull()).select(
-        F.least("before", "hash").alias("a"), F.greatest("before", "hash").alias("b")
-    )
+def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose full bitmaps leave a link open."""
     a = sets.select(F.col("hash").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
     b = sets.select(F.col("hash").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
-    bounded = pairs.distinct().join(a, "a").join(b, "b")
+    met = pairs.distinct().join(a, "a").join(b, "b")
     most = (F.col("na") + F.col("nb") - _differing("bits_a", "bits_b")) / 2
-    return bounded.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+    return met.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
+def _neighbour_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
+    tried = shared.select("hash", F.explode("before").alias("before"))
+    pairs = tried.select(F.least("before", "hash").alias("a"), F.greatest("before", "hash").alias("b"))
+    return _bounded(pairs, sets)
 
 
 def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components, from tiles, that size and bitmap leave open."""
-    known = sets.join(labels, "rep", "left").select("hash", "bits", F.coalesce("label", "rep").alias("label"))
-    rows = shared.select("gram", "hash", "n").join(known, "hash")
-    rows = _stored(rows, "tiles")
-    tiles = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
-    open_ = tiles.where(F.col("low") < F.col("high")).select("gram", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    met = rows.join(open_, "gram").withColumn("own", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
+    """Pairs of different components, from tiles, that sizes and bitmaps leave open."""
+    named = sets.join(labels, "rep", "left").select("hash", F.coalesce("label", "rep").alias("label"))
+    rows = _stored(shared.select("gram", "hash", "size").join(named, "hash"), "labelled")
+    tiles = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("least"), F.max("label").alias("most"))
+    open_ = tiles.where(F.col("least") < F.col("most")).select("gram", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    met = rows.join(open_, "gram").join(sets.select("hash", _folded("bits").alias("bits")), "hash")
+    met = met.withColumn("own", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
-        "gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "n", "hash", "own", "label", "bits"
+        "gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "size", "hash", "own", "label", "bits"
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def run(table: pa.Table) -> pa.RecordBatch:
-            gram, low, high, n, hash_, own, label = (np.asarray(table.column(i)).astype(np.int64) for i in range(7))
-            bits = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint64).reshape(-1, BITS // 64)
+            gram, low, high, size, hash_, own, label = (np.asarray(table.column(i)).astype(np.int64) for i in range(7))
+            bits = table.column(7).to_pylist()
+            wide = np.array([len(x) for x in bits])
+            # at each width the bitmaps of all sets that have so many bits
+            maps, w = {}, BITS // 8
+            while w <= TILE_BITS // 8:
+                have = np.flatnonzero(wide >= w)
+                maps[w] = np.zeros((len(bits), w // 8), np.uint64)
+                if len(have):
+                    maps[w][have] = np.stack([fold(bits[i], w) for i in have.tolist()])
+                w *= 2
+            n = size >> 32
             found_a, found_b = [], []
             here, k = np.arange(len(gram)), 1
             while len(here):
@@ -320,12 +383,16 @@ def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
                 within &= 4 * n[here] >= 3 * n[there]  # sizes rise, so later ones are out as well
                 here, there = here[within], there[within]
                 tried = (label[here] != label[there]) & ((low[here] == high[here]) | (own[here] != own[there]))
+                tried &= _open(size[here], size[there])
                 a, b = here[tried], there[tried]
-                differing = np.bitwise_count(bits[a] ^ bits[b]).sum(1, dtype=np.int64)
-                both = n[a] + n[b]
-                left = 7 * (both - differing) >= 6 * both
-                found_a.append(hash_[a[left]])
-                found_b.append(hash_[b[left]])
+                widest = np.minimum(wide[a], wide[b])
+                for w, held_bits in maps.items():
+                    x, y = a[widest == w], b[widest == w]
+                    differing = np.bitwise_count(held_bits[x] ^ held_bits[y]).sum(1, dtype=np.int64)
+                    both = n[x] + n[y]
+                    left = 7 * (both - differing) >= 6 * both
+                    found_a.append(hash_[x[left]])
+                    found_b.append(hash_[y[left]])
                 k += 1
             a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (found_a, found_b))
             pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
@@ -345,8 +412,8 @@ def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
         if held:
             yield run(pa.Table.from_batches(held).combine_chunks())
 
-    dealt = met.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high", "n", "hash")
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    dealt = met.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high", "size", "hash")
+    return _bounded(dealt.mapInArrow(compare, "a long, b long"), sets)
 
 
 # ---- components -------------------------------------------------------------
@@ -360,18 +427,14 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
         grand = parents.join(above, "parent").select("node", "parent", "grand")
-        grand = _stored(grand, "grand")
-        best = (
-            edges.join(grand.select(F.col("node").alias("v"), "grand"), "v").groupBy("u").agg(F.min("grand").alias("near"))
+        near = edges.join(grand.select(F.col("node").alias("v"), "grand"), "v").groupBy("u").agg(F.min("grand").alias("near"))
+        hooked = grand.join(near, F.col("node") == F.col("u"))
+        # the parent and the node itself may move to the least grandparent among the neighbours
+        moves = F.array(
+            F.struct(F.col("parent").alias("n"), F.col("near").alias("to")),
+            F.struct(F.col("node").alias("n"), F.least("near", "grand").alias("to")),
         )
-        hooked = grand.join(best, F.col("node") == F.col("u")).select("node", "parent", "grand", "near")
-        moves = [
-            hooked.select(F.col("parent").alias("node"), F.col("near").alias("to")),
-            hooked.select("node", F.col("near").alias("to")),
-            hooked.select("node", F.col("grand").alias("to")),
-            hooked.select("node", F.col("parent").alias("to")),
-        ]
-        moved = reduce(DataFrame.union, moves).groupBy("node").agg(F.min("to").alias("parent"))
+        moved = hooked.select(F.inline(moves)).groupBy(F.col("n").alias("node")).agg(F.min("to").alias("parent"))
         parents = _stored(moved, "parents")
         now = parents.agg(F.sum(F.col("parent").cast("decimal(38,0)"))).first()[0]
         if now == total:  # parents only ever fall
