@@ -15,10 +15,10 @@ The exact links between the others come from tiles:
   bitmaps of up to ``TILE_BITS`` bits bound the overlap from above: with d differing bits, two sets share at most (n + m - d) / 2 grams. Pairs
   left by that meet full bitmaps, which have a bit for every gram and fold to any
   smaller width; what is left then is decided exactly on the sorted arrays.
-* First each set is tried with some neighbours in every tile. What links already needs
-  no further comparison, so the second step skips pairs within one component and
-  whole tiles of one component: a family of thousands of near copies costs as much as
-  its number, not its square. Tiles of more than ``BLOCK`` sets are cut in blocks,
+* First each set takes the first partner of every tile that the bounds leave open. What
+  links already needs no further comparison, so the second pass over the tiles takes
+  all pairs but those within one component, and leaves out whole tiles of one: a family
+  of thousands of near copies gives as many pairs as its number, not its square. Tiles of more than ``BLOCK`` sets are cut in blocks,
   one task for two of them.
 
 Components come from parent pointers with hooking and shortcuts, each round written
@@ -53,8 +53,6 @@ WINDOW = 1 << 22
 REPORT = 8
 FREQUENT = 64
 BLOCK = 2_000
-# Each set is tried with those so many places before it in every tile.
-STEPS = (1, 2, 4, 8, 16)
 
 _MIX = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64
@@ -225,37 +223,18 @@ def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
 
 
 def _shared_postings(postings: DataFrame) -> DataFrame:
-    """Postings whose gram another set shows too, with some sets before in the tile.
+    """Postings whose gram another set shows too.
 
-    Rows arrive by gram, size and hash; ``max(STEPS)`` rows are carried, never a tile.
+    Rows arrive by gram, size and hash; one row is carried over, never a tile.
     """
-    reach = max(STEPS)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         none = np.zeros(0, np.int64)
-        held, given = (none, none, none), 0  # the last rows, and how many of them were given out
+        held, joined = (none, none, none), False  # the last row, and whether it met its like
 
-        def emit(gram, hash_, size, start, stop):
-            same = np.zeros(len(gram) + 1, bool)  # with the row before
-            same[1:-1] = gram[1:] == gram[:-1]
-            keep = same[:-1] | same[1:]
-            keep[:start] = False
-            keep[stop:] = False
-            rows = np.flatnonzero(keep)
-            mine, theirs = [], []
-            for step in STEPS:
-                here = rows[rows >= step]
-                here = here[gram[here] == gram[here - step]]
-                here = here[_open(size[here], size[here - step])]
-                mine.append(here)
-                theirs.append(hash_[here - step])
-            mine, theirs = np.concatenate(mine), np.concatenate(theirs)
-            order = np.argsort(mine, kind="stable")
-            ends = np.searchsorted(mine[order], rows, side="right")
-            before = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(theirs[order]))
+        def emit(gram, hash_, size, keep):
             return pa.RecordBatch.from_arrays(
-                [pa.array(gram[rows]), pa.array(hash_[rows]), pa.array(size[rows]), before],
-                names=["gram", "hash", "size", "before"],
+                [pa.array(gram[keep]), pa.array(hash_[keep]), pa.array(size[keep])], names=["gram", "hash", "size"]
             )
 
         for batch in batches:
@@ -264,17 +243,20 @@ def _shared_postings(postings: DataFrame) -> DataFrame:
             first = np.ones(len(gram), bool)
             first[1:] = (gram[1:] != gram[:-1]) | (hash_[1:] != hash_[:-1])
             gram, hash_, size = gram[first], hash_[first], size[first]
-            if len(gram) > given + 1:  # the last row waits for the one after it
-                yield emit(gram, hash_, size, given, len(gram) - 1)
-                cut = max(len(gram) - 1 - reach, 0)
-                held, given = (gram[cut:], hash_[cut:], size[cut:]), len(gram) - 1 - cut
-            else:
-                held = (gram, hash_, size)
-        if len(held[0]) > given:
-            yield emit(*held, given, len(held[0]))
+            if not len(gram):
+                continue
+            same = np.zeros(len(gram) + 1, bool)  # with the row before
+            same[1:-1] = gram[1:] == gram[:-1]
+            same[0] = joined
+            keep = same[:-1] | same[1:]
+            keep[-1] = False  # waits for the row after it
+            yield emit(gram, hash_, size, keep)
+            held, joined = (gram[-1:], hash_[-1:], size[-1:]), bool(same[-2])
+        if joined:
+            yield emit(*held, np.ones(1, bool))
 
     ordered = postings.repartition("gram").sortWithinPartitions("gram", "size", "hash")
-    return ordered.mapInArrow(scan, "gram long, hash long, size long, before array<long>")
+    return ordered.mapInArrow(scan, "gram long, hash long, size long")
 
 
 # ---- comparing and verifying ------------------------------------------------
@@ -339,15 +321,24 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def _neighbour_pairs(shared: DataFrame, sets: DataFrame) -> DataFrame:
-    tried = shared.select("hash", F.explode("before").alias("before"))
-    pairs = tried.select(F.least("before", "hash").alias("a"), F.greatest("before", "hash").alias("b"))
-    return _bounded(pairs, sets)
+def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can link, this being their first common gram."""
+    n, m = size_a >> 32, size_b >> 32
+    most = np.minimum(np.minimum(size_a & 0xFFFFFFFF, size_b & 0xFFFFFFFF), np.minimum(n, m))
+    return 7 * most >= 3 * (n + m)
 
 
-def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components, from tiles, that sizes and bitmaps leave open."""
-    named = sets.join(labels, "rep", "left").select("hash", F.coalesce("label", "rep").alias("label"))
+def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """Pairs of different components, from tiles, that sizes and bitmaps leave open.
+
+    Without ``labels`` each set is its own component, and gets the first such pair of
+    each tile only: no more pairs than postings.
+    """
+    first_only = labels is None
+    if first_only:
+        named = sets.select("hash", F.col("rep").alias("label"))
+    else:
+        named = sets.join(labels, "rep", "left").select("hash", F.coalesce("label", "rep").alias("label"))
     rows = _stored(shared.select("gram", "hash", "size").join(named, "hash"), "labelled")
     tiles = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("least"), F.max("label").alias("most"))
     open_ = tiles.where(F.col("least") < F.col("most")).select("gram", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
@@ -374,7 +365,7 @@ def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
                     maps[w][have] = np.stack([fold(bits[i], w) for i in have.tolist()])
                 w *= 2
             n = size >> 32
-            found_a, found_b = [], []
+            found_a, found_b, done = [], [], np.zeros(len(gram), bool)
             here, k = np.arange(len(gram)), 1
             while len(here):
                 here = here[here + k < len(gram)]
@@ -393,6 +384,10 @@ def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFr
                     left = 7 * (both - differing) >= 6 * both
                     found_a.append(hash_[x[left]])
                     found_b.append(hash_[y[left]])
+                    if first_only:
+                        done[x[left]] = True
+                if first_only:
+                    here = here[~done[here]]
                 k += 1
             a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (found_a, found_b))
             pairs = np.unique(np.column_stack([np.minimum(a, b), np.maximum(a, b)]), axis=0)
@@ -466,7 +461,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     )
     sets = _stored(sets, "sets")
     shared = _stored(_shared_postings(_postings(documents, np.sort(frequent.view(np.uint64)))), "shared")
-    links = _verify(_neighbour_pairs(shared, sets), documents, sets)
+    links = _verify(_tile_pairs(shared, sets), documents, sets)
     labels = components(links)
     more = _verify(_tile_pairs(shared, sets, labels), documents, sets)
     labels = components(links.union(more))
