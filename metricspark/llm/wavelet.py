@@ -25,8 +25,10 @@ from __future__ import annotations
 import io
 import json
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +47,7 @@ END_ID = 2
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
 REMEMBERED = 400_000  # pieces of a generation
-GROUP_BYTES = 16 << 20  # of texts encoded together
+GROUP_ROWS, GROUP_BYTES = 8_000, 32 << 20  # of texts encoded together
 
 MANIFEST = "first_doc long, part int, seq int, path string, n_docs long, n_tokens long"
 PER_DOCUMENT = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -215,7 +217,11 @@ class LibraryEncoder:
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(c.ids, "<u2").tobytes() for c in coded]
+        out = [array("H", c.ids) for c in coded]
+        if sys.byteorder == "big":
+            for ids in out:
+                ids.byteswap()
+        return [ids.tobytes() for ids in out]
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}
@@ -272,7 +278,7 @@ def write_shards(documents: DataFrame, folder: str, path: str | None = None, end
             for batch in batches:
                 some.append(batch)
                 rows, held = rows + batch.num_rows, held + batch.nbytes
-                if rows >= PieceEncoder.SLICE or held >= GROUP_BYTES:
+                if rows >= GROUP_ROWS or held >= GROUP_BYTES:
                     yield pa.Table.from_batches(some).combine_chunks()
                     some, rows, held = [], 0, 0
             if some:
