@@ -33,6 +33,16 @@ def crc_bucket(column: str, buckets: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string")) % buckets, F.lit(0)).cast("int")
 
 
+def hash_sample(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
+    """At most ``rows`` rows, chosen by their hash ``key``, the same in every run.
+
+    Of ``total`` rows a share by the key's low bits goes on, so that the tasks
+    together send few rows more than are wanted; of those the least keys are taken.
+    """
+    share = min(1.0, rows / max(total, 1))
+    return df.where(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(key).limit(rows)
+
+
 class Memo(dict):
     """A dict that computes what is missing; emptied when it holds ``limit`` entries.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, bound_batches, replace_columns
+from metricspark.llm.common import Memo, bound_batches, hash_sample, replace_columns
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 3_000
@@ -307,7 +307,9 @@ def fit_pii(documents: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
         return pa.array(out, kind)
 
     holding = documents.select(_text(text).alias("t")).where(F.col("t").rlike("[0-9@]"))
-    picked = holding.select(F.xxhash64("t").alias("h"), label("t").alias("w")).orderBy("h").limit(rows)
+    # texts that hold one are some hundredths of many corpora
+    labelled = holding.select(F.xxhash64("t").alias("h"), label("t").alias("w"))
+    picked = hash_sample(labelled, F.col("h"), rows, documents.count() // 40)
     sample = sorted(picked.collect(), key=lambda r: r["h"])
     graph, labels, seen = Graph(), [], set()
     for row in sample:

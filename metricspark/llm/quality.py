@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import crc_bucket, replace_columns
+from metricspark.llm.common import crc_bucket, hash_sample, replace_columns
 
 SAMPLE_ROWS = 6_000
 WORD_BUCKETS = 1 << 16
@@ -186,7 +186,7 @@ def _text(column: str):
 def sample_labelled(documents: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, text and ``label`` of the ``rows`` labelled documents of least hash."""
     known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("_label"))
-    picked = known.orderBy(F.xxhash64("doc_id"), "doc_id", "_label").limit(rows)
+    picked = hash_sample(known, F.xxhash64("doc_id", "_label"), rows, known.count() // 2)
     # at most ``rows`` rows of two numbers: a proven bound
     return documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 

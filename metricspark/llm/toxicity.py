@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, crc_bucket, replace_columns
+from metricspark.llm.common import Memo, crc_bucket, hash_sample, replace_columns
 
 SAMPLE_ROWS = 2_500  # of each label
 CHAINS_PER_ROW = 40
@@ -289,7 +289,11 @@ def sampled_sentences(documents: DataFrame, labels: DataFrame, label: str, rows:
     Rows and, within a long text, sentences are those of least hash.
     """
     known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("_label"))
-    pick = lambda v: known.where(F.col("_label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+
+    def pick(label: int) -> DataFrame:
+        own = known.where(F.col("_label") == label)
+        return hash_sample(own, F.xxhash64("doc_id"), rows, own.count() // 2)
+
     # at most 2 x ``rows`` rows of two numbers: a proven bound
     picked = F.broadcast(pick(0).unionByName(pick(1)))
 
