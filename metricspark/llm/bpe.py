@@ -34,7 +34,7 @@ from metricspark.llm.common import Memo, PieceEncoder, replace_columns, tokenize
 
 LONG_WORD = 100
 # Words remembered by each Python worker.
-MEMO_ENTRIES = 100_000
+MEMO_ENTRIES = 50_000
 NO_MERGE = 1 << 60
 
 
@@ -72,7 +72,7 @@ class WordBpe:
         )
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
         self.word_ids = Memo(self._merge_word, MEMO_ENTRIES)
-        self.pieces = PieceEncoder(lambda pieces: list(map(self._encode_piece, pieces)), "<u4")
+        self.pieces = PieceEncoder(lambda pieces: list(map(self._encode_piece, pieces)), "<u4", limit=75_000)
 
     def _merge_word(self, word: str) -> tuple[int, ...]:
         data = word.encode()
