@@ -9,7 +9,7 @@ letters and digits) share skip potentials, each linked to the next of its like,
 that a document's edges grow with its words. Loopy message passing runs over the
 graphs of a whole batch at once and makes labels consistent across a document.
 
-The field learns from the base spans of a bounded sample of documents: what looks
+The field learns from the base spans of a bounded sample of distinct texts: what looks
 like a kind but often fails its pattern there is not added. It adds spans
 of words whose marginal for one kind is at least ``SURE``, which look like that kind
 at all and lie outside the base spans; base spans always stay.
@@ -289,7 +289,7 @@ _SAMPLED = T.ArrayType(
 
 
 def fit_pii(documents: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> SkipChain:
-    """Fits on the ``rows`` documents of least hash that hold a digit or ``@``.
+    """Fits on ``rows`` distinct texts that hold a digit or ``@``, those of least hash; on all if they are fewer.
 
     Only their words in question, at most ``WORDS_PER_ROW`` each, go to the driver.
     """
@@ -306,16 +306,16 @@ def fit_pii(documents: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
         kind = pa.list_(pa.struct([("place", pa.int32()), ("word", pa.string()), ("label", pa.int32())]))
         return pa.array(out, kind)
 
-    holding = documents.select(_text(text).alias("t")).where(F.col("t").rlike("[0-9@]"))
-    # texts that hold one are some hundredths of many corpora
-    labelled = holding.select(F.xxhash64("t").alias("h"), label("t").alias("w"))
-    picked = hash_sample(labelled, F.col("h"), rows, documents.count() // 40)
-    sample = sorted(picked.collect(), key=lambda r: r["h"])
-    graph, labels, seen = Graph(), [], set()
+    holding = documents.select(_text(text).alias("t")).where(F.col("t").rlike("[0-9@]")).withColumn("h", F.xxhash64("t"))
+    # copies count once, before the sample is sized and taken
+    distinct = holding.select("h").distinct()
+    # about twice the wanted rows and 100 more pass the share, so it never leaves too few
+    picked = hash_sample(distinct, F.col("h"), rows, distinct.count() * rows // (2 * rows + 100))
+    # at most ``rows`` numbers: a proven bound
+    sampled = holding.join(F.broadcast(picked), "h").dropDuplicates(["h"])
+    sample = sorted(sampled.select("h", label("t").alias("w")).collect(), key=lambda r: r["h"])
+    graph, labels = Graph(), []
     for row in sample:
-        if row["h"] in seen:  # copies teach nothing new
-            continue
-        seen.add(row["h"])
         graph.add([w["place"] for w in row["w"]], [w["word"] for w in row["w"]])
         labels += [w["label"] for w in row["w"]]
     field = SkipChain()

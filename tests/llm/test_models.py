@@ -164,6 +164,17 @@ def test_field_adds_what_repeats(spark):
     assert all([s[1:2] + s[3:] for s in spans] == [(2, True)] for spans in pii.find_spans([t for _, t in rows], field))
 
 
+def test_field_learns_from_as_many_distinct_texts_as_wanted(spark, monkeypatch):
+    """However rare the texts that hold a digit are, and however often each is copied."""
+    learnt = []
+    monkeypatch.setattr(pii.SkipChain, "fit", lambda self, graph, labels: learnt.append(len(labels)))
+    for copies, others in ((1, 40_000), (30, 0)):
+        holding = spark.range(60 * copies).selectExpr("concat('write to ', 'user', id % 60, '@example.org') AS text")
+        pii.fit_pii(holding.union(spark.range(others).selectExpr("'nothing here'")), rows=20)
+        pii.fit_pii(holding, rows=100)
+    assert learnt == [20, 60, 20, 60]
+
+
 def test_op7_over_whole_table(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     import hashlib
