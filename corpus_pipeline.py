@@ -1,7 +1,7 @@
 """A training corpus from raw documents: five stages, each one operator of the library.
 
 1. quality: a factorisation machine, fitted on the labelled rows, drops what it rejects.
-2. near duplicates: one document of each group of linked ones stays, that of least id.
+2. near duplicates: one row of each group of linked texts stays, that of least id.
 3. personal data: spans are replaced by the name of their kind.
 4. mixing: sources are brought to their target weights; a document may repeat.
 5. encoding: the ids of every document, and the digest of what they decode to.
@@ -16,7 +16,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from metricspark.llm.bpe import decode_ids, encode_text
 from metricspark.llm.common import table
@@ -36,13 +35,18 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows without an id have no group and stay; rows that share one count as one group."""
-    groups = jaccard_components(docs)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    order = [F.col(c) for c in docs.columns if c != "doc_id"]
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))
-    known = docs.join(kept, "doc_id", "left_semi").withColumn("_first", first).where(F.col("_first") == 1)
-    return known.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Rows without an id have no group and stay.
+
+    Texts are linked, not ids: rows that share an id but hold unrelated texts all stay.
+    """
+    keyed = docs.where(F.col("doc_id").isNotNull()).withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = jaccard_components(keyed.select(F.col("_key").alias("doc_id"), "text"))
+    named = groups.select(F.col("doc_id").alias("_key"), "component_id").distinct().join(keyed.select("_key", "doc_id").distinct(), "_key")
+    least = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "_key")).alias("_least"))
+    # equal rows of one id and text fall together in the tasks that read them
+    single = keyed.groupBy("_key").agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    known = single.join(least.select("_least._key"), "_key", "left_semi")
+    return known.select("_row.*").unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

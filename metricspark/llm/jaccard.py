@@ -26,8 +26,9 @@ to the shared folder.
 
 Defined cases: null, empty and wordless texts have the empty set, link with nothing
 and are their own component; fewer than five words are one gram; texts of any length
-are read whole; rows that share a ``doc_id`` count as one document for links; rows
-without one link with nothing and have a null component; extra columns are ignored.
+are read whole; rows that share a ``doc_id`` count as one document for links and have
+one component, whatever their texts; rows without one link with nothing and have a
+null component; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -443,6 +444,14 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 # ---- the operator -----------------------------------------------------------
 
 
+def _same_document(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) from each ``doc_id`` with several sets to the representatives of those."""
+    own = rows.where(F.col("doc_id").isNotNull()).select("doc_id", "n", "hash")
+    several = own.groupBy("doc_id").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where(F.col("low") < F.col("high"))
+    met = own.where(F.col("n") > 0).join(several.select("doc_id"), "doc_id", "left_semi").join(sets.select("hash", "rep"), "hash")
+    return met.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).where(F.col("u") != F.col("v")).distinct()
+
+
 def jaccard_components(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     spark = documents.sparkSession
@@ -461,13 +470,16 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     )
     sets = _stored(sets, "sets")
     shared = _stored(_shared_postings(_postings(documents, np.sort(frequent.view(np.uint64)))), "shared")
-    links = _verify(_tile_pairs(shared, sets), documents, sets)
+    same = _stored(_same_document(rows, sets), "same")
+    links = _verify(_tile_pairs(shared, sets), documents, sets).union(same)
     labels = components(links)
     more = _verify(_tile_pairs(shared, sets, labels), documents, sets)
     labels = components(links.union(more))
     named = sets.join(labels, "rep", "left").select(F.col("hash").alias("_hash"), F.coalesce("label", "rep").alias("_label"))
     named = _stored(named, "named")
-    own = rows.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("hash")).alias("_hash"))
-    return own.join(named, "_hash", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("_label", "doc_id").alias("component_id")
-    )
+    filled = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    own = rows.where(filled).select("doc_id", "n", F.col("hash").alias("_hash")).join(named, "_hash", "left")
+    # rows without a set go with the other rows of their document
+    others = rows.where(~filled).join(labels.select(F.col("rep").alias("doc_id"), F.col("label").alias("_label")), "doc_id", "left")
+    both = own.select("doc_id", "n", "_label").unionByName(others.select("doc_id", "n", "_label"))
+    return both.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("_label", "doc_id").alias("component_id"))

@@ -203,6 +203,16 @@ def test_pipeline_stages(spark):
         docs = out
 
 
+def test_pipeline_keeps_unrelated_texts_of_one_id(spark):
+    import corpus_pipeline
+
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcz"]
+    rows = [(7, texts[0]), (7, texts[1]), (7, texts[1]), (7, texts[1] + " more"), (8, texts[0]), (6, texts[3]), (7, texts[3]), (7, ""), (None, texts[0])]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, source string")
+    got = [(r["doc_id"], (r["text"] or "").split(" ")[0]) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(7, "a0"), (7, "b0"), (6, "z0"), (7, ""), (None, "a0")], key=str)
+
+
 def test_pipeline_on_odd_rows(spark, odd_documents, tmp_path):
     import corpus_pipeline
 

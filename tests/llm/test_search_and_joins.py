@@ -168,6 +168,15 @@ def test_op4_hot_families(spark, monkeypatch):
     assert collections.Counter(tuple(r) for r in got) == brute_components(rows)
 
 
+def test_op4_rows_of_one_document_have_one_component(spark):
+    """Also where an unrelated text of it, or an empty one, links with nothing."""
+    texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcd"]
+    rows = [(1, texts[0]), (2, texts[1]), (2, texts[0]), (2, ""), (3, texts[2]), (4, texts[2] + " more"), (4, texts[3]), (5, texts[3]), (None, texts[0])]
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter(tuple(r) for r in got) == brute_components(rows)
+    assert {r["component_id"] for r in got if r["doc_id"] in (1, 2)} == {1}
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001)], "u long, v long")
     got = {r["rep"]: r["label"] for r in jaccard.components(links).collect()}
