@@ -1,10 +1,12 @@
-"""Operator 2: exact top-k inner products from an impact-ordered index.
-
-Vectors are turned into integers and written in blocks to the shared folder. A block
-holds its postings by segments of descending quantised impact: the components of the
-greatest magnitude first, then those of the next range, down to the smallest. Since
-these vectors are dense, a segment is kept as an array with zeros for what other
-segments hold.
+"""Operator 2: exact top-k inner products by segments of descending impact.
+
+Vectors are turned into integers and written in blocks to the shared folder, as ids
+and one plain integer matrix a block. A search cuts each piece of that matrix into
+segments of descending quantised impact: the components of the greatest magnitude
+first, then those of the next range, down to the smallest. Since these vectors are
+dense, a segment is a dense array with zeros for what other segments hold, made anew
+for every block of queries and multiplied with its zeros. So this is a blocked dense
+product that stops early, not an index of stored posting lists.
 
 A block of queries meets the segments in that order. After each, a candidate's score
 is at most what it has so far plus |query| * |its components not seen yet|. When the
