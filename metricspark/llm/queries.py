@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from metricspark.llm.bpe import bpe_digests
 from metricspark.llm.chunks import fingerprint_result
+from metricspark.llm.collocations import collocations
 from metricspark.llm.common import table
+from metricspark.llm.conversations import conversation_result
 from metricspark.llm.jaccard import jaccard_components
 from metricspark.llm.mixing import mix_result
 from metricspark.llm.pii import pii_result
+from metricspark.llm.prefixes import token_counts_result
 from metricspark.llm.quality import quality_result
 from metricspark.llm.topk import top_k
 from metricspark.llm.toxicity import toxicity_result
@@ -59,8 +62,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_result(table(spark, sf_dir, "documents"))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_result(table(spark, sf_dir, "conversations"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts_result(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_wavelet, op2_topk, op3_chunks, op4_jaccard, op5_bpe, op6_toxicity, op7_pii, op8_warc, op9_quality, op10_mixing)
+    f.__name__: f
+    for f in (
+        op1_wavelet,
+        op2_topk,
+        op3_chunks,
+        op4_jaccard,
+        op5_bpe,
+        op6_toxicity,
+        op7_pii,
+        op8_warc,
+        op9_quality,
+        op10_mixing,
+        op11_conversations,
+        op12_collocations,
+        op13_token_counts,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -129,4 +159,42 @@ ORACLE_SQL: dict[str, str] = {
                                        AND target - epochs * source_size > 0 THEN 1 ELSE 0 END))::BIGINT AS taken
         FROM placed
     """,
+    "op12_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang),
+        grams AS (
+            SELECT lang, size,
+                   unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+            FROM worded, (SELECT unnest([1, 2, 3, 4]) AS size)
+            WHERE len(w) >= size),
+        known AS (SELECT lang, size, phrase, count(*)::BIGINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+        cuts AS (
+            SELECT lang, size, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+                   array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+            FROM known, (SELECT unnest([1, 2, 3]) AS k)
+            WHERE k < size),
+        scored AS (
+            SELECT c.lang, c.size, c.phrase, a, k, x.f AS l, y.f AS r,
+                   ((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+            FROM cuts c
+            JOIN known x ON x.lang = c.lang AND x.phrase = c.head
+            JOIN known y ON y.lang = c.lang AND y.phrase = c.rest),
+        weakest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        kept AS (
+            SELECT * FROM weakest w
+            WHERE NOT EXISTS (
+                SELECT 1 FROM known b
+                WHERE b.lang = w.lang AND b.size > w.size AND 100 * b.f >= 80 * w.a
+                  AND contains(' ' || b.phrase || ' ', ' ' || w.phrase || ' '))),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
 }
