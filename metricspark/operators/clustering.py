@@ -27,8 +27,8 @@ MAX_K = 30
 # Centers are looked up with a broadcast join up to this many bytes; a model with
 # more leaves the choice of join to the optimizer.
 BROADCAST_CENTER_BYTES = 8 << 20
-# Clusters that a row is compared with at a time when the silhouette is taken.
-CLUSTER_CHUNK = 2_000
+# Clusters of similar norm that a row is compared with at a time when the silhouette is taken.
+CLUSTER_CHUNK = 500
 
 
 # --- features -----------------------------------------------------------------
@@ -171,78 +171,108 @@ def silhouette(
     """Mean silhouette with squared Euclidean distance: ``(<labelling>, n_clusters, silhouette)``.
 
     ``labelling`` tells apart several clusterings of the same points, all scored in
-    the same two passes. A row with weight w stands for w equal rows; a row without
+    the same passes. A row with weight w stands for w equal rows; a row without
     a cluster does not count. One cluster alone scores null.
 
     The mean distance from a row to a cluster follows from the cluster's count, sum
-    and sum of squares. One pass makes these sums, which are checkpointed; a second
-    scores each row against them. They go to the tasks in chunks of ``chunk``
-    clusters, and the nearest other cluster is folded over the chunks, so any number
-    of clusters is scored.
+    and sum of squares, so one pass makes these sums, which are checkpointed. It is never
+    less than the square of the gap between the row's norm and that of the cluster's
+    center. So clusters are put in chunks of at least ``chunk`` by the norm of their
+    centers, and a row looks for its nearest other cluster in the chunk of its own one
+    first; only chunks whose norms come nearer to the row's than the distance found
+    are looked at then. They are few where norms tell clusters apart, and all in the
+    worst case, for the same result.
     """
-    label = col(labelling) if labelling else F.lit(0)
     rows = df.where(col(cluster).isNotNull()).select(
-        label.alias("_l"),
+        (col(labelling) if labelling else F.lit(0)).alias("_l"),
         col(cluster).alias("_c"),
         (col(weight) if weight else F.lit(1.0)).alias("_w"),
         *(col(f).alias(f"_x{i}") for i, f in enumerate(features)),
     )
-    x = [F.col(f"_x{i}") for i in range(len(features))]
+    names = [f"_x{i}" for i in range(len(features))]
+    x = [F.col(c) for c in names]
     w = F.col("_w")
     norm = _total(v * v for v in x)
     sums = rows.groupBy("_l", "_c").agg(
-        F.sum(w).alias("n"), F.sum(w * norm).alias("norm"), *(F.sum(w * v).alias(f"s{i}") for i, v in enumerate(x))
+        F.sum(w).cast("double").alias("n"), F.sum(w * norm).alias("norm"), *(F.sum(w * v).alias(f"s{i}") for i, v in enumerate(x))
     )
     entry = F.struct(
         F.col("_c").alias("id"),
-        F.col("n").cast("double").alias("n"),
+        F.col("n"),
         (F.col("norm") / F.col("n")).alias("norm"),
         F.array(*(F.col(f"s{i}") / F.col("n") for i in range(len(x)))).alias("mean"),
     )
-    order = Window.partitionBy("_l").orderBy("_c")
-    numbered = sums.select(
-        F.col("_l").alias("_t"),
-        F.floor((F.row_number().over(order) - 1) / chunk).cast("int").alias("_chunk"),
-        F.count(F.lit(1)).over(Window.partitionBy("_l")).cast("int").alias("_k"),
-        entry.alias("_entry"),
+    measured = sums.select("_l", "_c", entry.alias("_mine")).withColumn(
+        "_size", F.sqrt(_total(F.pow(F.col("_mine.mean")[i], 2.0) for i in range(len(x))))
     )
+    label = Window.partitionBy("_l")
     ensure_checkpoint_dir(df.sparkSession)
-    table = numbered.groupBy("_t", "_chunk", "_k").agg(F.collect_list("_entry").alias("_clusters")).checkpoint()
-    chunks = (table.agg(F.max("_chunk")).first()[0] or 0) + 1
+    clusters = (
+        measured.withColumn("_k", F.count(F.lit(1)).over(label).cast("int"))
+        .withColumn("_place", F.row_number().over(label.orderBy("_size", "_c")) - 1)
+        .withColumn("_chunk", F.floor(F.col("_place") / F.greatest(F.lit(chunk), F.ceil(F.sqrt("_k")))).cast("int"))
+        .drop("_place")
+        .checkpoint()
+    )
+    found = clusters.agg(F.count(F.lit(1)), F.coalesce(F.max("_chunk"), F.lit(0))).first()
+    small = found[0] * 8 * (len(x) + 6) <= BROADCAST_CENTER_BYTES
+    # without labels the label is one constant and no key to join by
+    by = ["_l"] if labelling else []
+
+    def meet(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        right = right.select(F.col(key).alias("_key"), F.col("_l").alias("_t"), *(c for c in right.columns if c not in (key, "_l")))
+        on = reduce(lambda a, b: a & b, (F.col("_l").eqNullSafe(F.col("_t")) for _ in by), F.col(key) == F.col("_key"))
+        return left.join(F.broadcast(right) if small else right, on).drop("_key", "_t")
 
     def distance(c: Column) -> Column:
         cross = _total(v * c["mean"][i] for i, v in enumerate(x))
         # Rounding may leave a tiny negative where the distance is zero.
         return F.greatest(norm + c["norm"] - cross * 2, F.lit(0.0))
 
-    for i in range(chunks):
-        part = table.where(F.col("_chunk") == i).select("_t", F.col("_k").alias(f"_k{i}"), "_clusters")
-        met = rows.join(F.broadcast(part), F.col("_l").eqNullSafe(F.col("_t")), "left")
-        mine = F.get(F.filter("_clusters", lambda c: c["id"] == F.col("_c")), F.lit(0))
-        others = F.filter("_clusters", lambda c: c["id"] != F.col("_c"))
-        near = F.array_min(F.transform(others, distance))
-        if i:
-            mine, near = F.coalesce("_mine", mine), F.least("_other", near)
-        rows = met.select(
-            "_l", "_c", "_w", *(f"_x{j}" for j in range(len(x))),
-            F.col("_k0" if not i else "_k").alias("_k"), mine.alias("_mine"), near.alias("_other"),
-        )
-    scored = rows.select(
-        "_l",
-        "_w",
-        "_k",
-        F.col("_mine.n").alias("n"),
+    def nearest(entries: Column) -> Column:
+        return F.array_min(F.transform(F.filter(entries, lambda c: c["id"] != F.col("_c")), distance))
+
+    def score(frame: DataFrame) -> DataFrame:
+        n, own, other = F.col("_mine.n"), F.col("_own"), F.col("_other")
         # The mean over the rest of the own cluster leaves out the row itself.
-        (distance(F.col("_mine")) * F.try_divide(F.col("_mine.n"), F.col("_mine.n") - 1)).alias("own"),
-        F.col("_other").alias("other"),
-    )
-    own, other = F.col("own"), F.col("other")
-    score = F.when((F.col("n") == 1) | (own == other), 0.0).otherwise(
-        F.try_divide(other - own, F.greatest(own, other))
+        rest = frame.withColumn("_own", distance(F.col("_mine")) * F.try_divide(n, n - 1))
+        value = F.when((n == 1) | (own == other), 0.0).otherwise(F.try_divide(other - own, F.greatest(own, other)))
+        return rest.select("_l", "_w", "_k", value.alias("_score"))
+
+    chunks = clusters.groupBy("_l", "_chunk").agg(
+        F.collect_list("_mine").alias("_clusters"), F.min("_size").alias("_low"), F.max("_size").alias("_high")
     )
+    placed = meet(rows, clusters.select("_l", "_c", "_mine", "_k", "_chunk"), "_c")
+    if not found[1]:
+        scored = score(meet(placed, chunks.select("_l", "_chunk", "_clusters"), "_chunk").withColumn("_other", nearest(F.col("_clusters"))))
+    else:
+        whole = label.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        edges = chunks.withColumns({"_lows": F.collect_list("_low").over(whole), "_highs": F.collect_list("_high").over(whole)})
+        # kept, as all that follows reads the distance found several times
+        home = (
+            meet(placed, edges.drop("_low", "_high"), "_chunk")
+            .withColumn("_other", nearest(F.col("_clusters")))
+            # a little more than the distance found, for what rounding may take from it
+            .withColumn("_reach", F.sqrt(F.col("_other") + (norm + F.col("_other")) * 1e-12))
+            .withColumn("_from", F.when(F.col("_other").isNull(), 0).otherwise(F.size(F.filter("_highs", lambda v: v < F.sqrt(norm) - F.col("_reach")))))
+            .withColumn("_to", F.when(F.col("_other").isNull(), F.size("_lows")).otherwise(F.size(F.filter("_lows", lambda v: v <= F.sqrt(norm) + F.col("_reach")))))
+            .drop("_clusters", "_lows", "_highs", "_reach")
+            .checkpoint()
+        )
+        # a sequence runs downwards where its end comes first
+        all_within = F.when(F.col("_to") > F.col("_from"), F.sequence("_from", F.col("_to") - 1)).otherwise(F.array().cast("array<int>"))
+        further = F.array_remove(all_within, F.col("_chunk"))
+        closed = home.where(F.size(further) == 0)
+        open_rows = home.select("*", F.posexplode(further).alias("_at", "_next")).drop("_from", "_to", "_chunk")
+        met = meet(open_rows, chunks.select("_l", F.col("_chunk").alias("_next"), "_clusters"), "_next")
+        # equal rows look at the same chunks, so they may be folded into one
+        folded = met.groupBy("_l", "_c", "_mine", "_k", *names).agg(
+            F.sum(F.when(F.col("_at") == 0, w)).alias("_w"), F.least(F.min("_other"), F.min(nearest(F.col("_clusters")))).alias("_other")
+        )
+        scored = score(closed).unionByName(score(folded))
     result = scored.groupBy(F.col("_l").alias(labelling or "_l")).agg(
         F.max("_k").alias("n_clusters"),
-        (F.sum(w * F.when(F.col("_k") > 1, score)) / F.sum(w)).alias("silhouette"),
+        (F.sum(w * F.when(F.col("_k") > 1, F.col("_score"))) / F.sum(w)).alias("silhouette"),
     )
     return result if labelling else result.drop("_l")
 

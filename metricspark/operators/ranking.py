@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from metricspark.functions.columns import col
@@ -12,16 +12,6 @@ from metricspark.functions.columns import col
 DIRECTIONS = ("highest", "lowest")
 
 
-def _key(metric: str, direction: str, nulls: str) -> tuple[Column, Column]:
-    """What sorts first, then the value as it sorts upwards."""
-    value = col(metric)
-    if direction == "highest":
-        # NaN is above every number; turned round it would come last
-        first = F.when(value.isNull(), 1).when(F.isnan(value.cast("double")), -1).otherwise(0)
-        return first, -value
-    return F.when(value.isNull(), 1 if nulls == "last" else -1).otherwise(0), value
-
-
 def ranked_extremes(
     df: DataFrame,
     metrics: Sequence[str],
@@ -41,19 +31,37 @@ def ranked_extremes(
 
     Each row is set out once for every list, and all lists are ranked in one window
     over (group, label). The rank filter is pushed below its exchange, which keeps
-    ``k`` rows per group, list and task: a group of any size stays cheap.
+    ``k`` rows per group, list and task: a group of any size stays cheap. Values keep
+    their types: a type has one key column that sorts upwards and one that sorts
+    downwards, and in each list all but one of them are null.
     """
     if nulls not in ("last", "spark"):
         raise ValueError(f"unknown null order {nulls!r}")
+    kinds = {m: df.select(col(m)).schema[0].dataType for m in metrics}
+    keys = {}
+    for kind in kinds.values():
+        for direction in DIRECTIONS:
+            keys.setdefault((kind, direction), f"_key{len(keys)}")
     entries = []
     for metric in metrics:
         for direction in DIRECTIONS:
-            first, value = _key(metric, direction, nulls)
-            label = F.lit(f"{direction}_{(labels or {}).get(metric, metric)}")
-            entries.append(F.struct(label.alias("label"), first.alias("_first"), value.alias("_value")))
+            null_place = -1 if nulls == "spark" and direction == "lowest" else 1
+            values = (
+                (col(metric) if at == (kinds[metric], direction) else F.lit(None).cast(at[0])).alias(key)
+                for at, key in keys.items()
+            )
+            entries.append(
+                F.struct(
+                    F.lit(f"{direction}_{(labels or {}).get(metric, metric)}").alias("label"),
+                    F.when(col(metric).isNull(), null_place).otherwise(0).alias("_first"),
+                    *values,
+                )
+            )
     lists = df.select("*", F.inline(F.array(*entries)))
     order = Window.partitionBy(*(col(b) for b in by), "label").orderBy(
-        "_first", "_value", *(col(t).asc_nulls_last() for t in ties)
+        "_first",
+        *(F.desc(key) if direction == "highest" else F.asc(key) for (_, direction), key in keys.items()),
+        *(col(t).asc_nulls_last() for t in ties),
     )
     ranked = lists.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select(*(col(c) for c in df.columns), "label", "rank")

@@ -47,11 +47,3 @@ def readings(spark):
         ],
         "time string, c string, f string",
     )
-
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples, nulls first."""
-    picked = df.select(*columns) if columns else df
-    return sorted(
-        (tuple(r) for r in picked.collect()), key=lambda t: [(v is not None, v) for v in t]
-    )

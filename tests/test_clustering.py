@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
@@ -21,7 +22,7 @@ from metricspark.operators import (
 from metricspark.operators import clustering
 from metricspark.plans import cluster_report
 
-from conftest import rows
+from frame_rows import rows
 
 # The published yearly carbon intensities in download order, each
 # with the group, center and distance published for it.
@@ -275,3 +276,23 @@ def test_row_without_center_gets_zero(spark):
     for known in (None, 1):
         found = distance_to_center(assigned, centers, ["v"], n_centers=known)
         assert rows(found) == [(1, 5.0, 4.0, 1.0), (2, -7.5, 0.0, 7.5)]
+
+
+def test_silhouette_with_fifty_thousand_clusters(spark):
+    """Clusters far more than a chunk holds, against the nearest of each row's 41 neighbours in order."""
+    k, each = 50_000, 3
+    frame = spark.range(k * each).select(
+        (F.col("id") % k).alias("c"), ((F.col("id") % k) + F.pmod(F.xxhash64("id"), F.lit(1000)) / 2500.0).alias("v")
+    )
+    found = silhouette(frame, ["v"], "c").first()
+    values = np.array([r["v"] for r in frame.orderBy("c", "v").collect()]).reshape(k, each)
+    mean, square = values.mean(axis=1), (values**2).mean(axis=1)
+    best = np.full((k, each), np.inf)
+    for step in [*range(-20, 0), *range(1, 21)]:
+        other = np.arange(k) + step
+        known = (other >= 0) & (other < k)
+        x, m, q = values[known], mean[other[known], None], square[other[known], None]
+        best[known] = np.minimum(best[known], x * x - 2 * x * m + q)
+    own = (values**2 - 2 * values * mean[:, None] + square[:, None]) * each / (each - 1)
+    assert found["n_clusters"] == k
+    assert found["silhouette"] == pytest.approx(((best - own) / np.maximum(best, own)).mean(), rel=1e-4)

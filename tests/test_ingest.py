@@ -5,7 +5,7 @@ from metricspark.sources.ingest import normalise_name, write_zoned
 from metricspark.streaming import land_csv
 from metricspark.streaming.landing import landed
 
-from conftest import rows
+from frame_rows import rows
 
 
 def test_name_rule():

@@ -46,17 +46,22 @@ def test_profiles_are_reshaped_after_the_aggregate(spark, sf_dir, name):
     assert plan.index("Expand" if "Expand" in plan else "Generate") < plan.index("partial_avg")
 
 
-@pytest.mark.parametrize("name", ["ranked_extremes_df", "ranked_extremes_sql"])
-def test_global_lists_reuse_one_aggregate(spark, sf_dir, name):
-    plan = _final_plan(catalog.QUERIES[name](spark, sf_dir))
+def test_global_lists_reuse_one_aggregate(spark, sf_dir):
+    plan = _final_plan(catalog.QUERIES["ranked_extremes_sql"](spark, sf_dir))
     assert plan.count("TakeOrderedAndProject") == 4
     assert plan.count("ReusedExchange") == 3
 
 
-def test_lists_by_zone_limit_before_the_exchange(spark, sf_dir):
-    plan = _plan(catalog.QUERIES["ranked_extremes_by_zone"](spark, sf_dir))
-    assert plan.count("WindowGroupLimit") == 8
-    assert "Partial" in plan
+@pytest.mark.parametrize("name", ["ranked_extremes_df", "ranked_extremes_by_zone"])
+def test_all_lists_are_ranked_in_one_window(spark, sf_dir, name):
+    """One aggregate, one window for all lists, and its limit below its exchange."""
+    plan = _plan(catalog.QUERIES[name](spark, sf_dir))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Window [") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+    limits = [i for i in range(len(plan)) if plan.startswith("WindowGroupLimit", i)]
+    assert len(limits) == 2 and "Partial" in plan[limits[1] :].split("\n")[0]
+    assert plan.index("Exchange hashpartitioning") < limits[1]
 
 
 def test_filters_reach_the_scan(spark, sf_dir):
@@ -84,7 +89,8 @@ def test_distinct_points_reads_one_column(spark, sf_dir):
 
 def test_ranking_a_skewed_group_ships_few_rows(spark):
     """All rows in one zone: each task sends on at most k of them per list."""
-    for zone, limit in ((F.when(F.col("id") >= 0, "Z"), "WindowGroupLimit"), (F.lit("Z"), "TakeOrderedAndProject")):
+    limit = "WindowGroupLimit"
+    for zone in (F.when(F.col("id") >= 0, "Z"), F.lit("Z")):
         months = spark.range(0, 20_000, 1, 8).select(
             zone.alias("zone"), F.col("id").cast("int").alias("year"), F.lit(1).alias("month"), F.rand(1).alias("m")
         )

@@ -8,7 +8,7 @@ from metricspark.operators import consolidate_runs, run_log, run_summary
 from metricspark.operators.runlog import RUN_SUMMARY_SCHEMA, append_runs, published_summary
 from metricspark.sinks import collect_results, export_results, write_result
 
-from conftest import rows
+from frame_rows import rows
 
 
 def _runs(query, times, start=0, query_type="DF"):

@@ -14,7 +14,7 @@ from metricspark.sources import (
     series_of,
 )
 
-from conftest import rows
+from frame_rows import rows
 
 SPEC = SeriesSpec(time_col="time", metrics={"c": "c", "f": "f"}, time_format="yyyy-MM-dd HH:mm:ss")
 

@@ -1,4 +1,7 @@
+import datetime as dt
+import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,7 +24,7 @@ from metricspark.plans import (
 )
 from metricspark.sources import series_of, union_zones
 
-from conftest import rows
+from frame_rows import rows
 
 SPEC = SeriesSpec(time_col="time", metrics={"c": "c", "f": "f"}, time_format="yyyy-MM-dd HH:mm:ss")
 
@@ -259,3 +262,30 @@ def test_cut_points_do_not_meet_in_one_task_by_scan_task(spark):
     assert len(cuts) == 9
     assert [round(c / 625) for c in cuts[1:-1]] == list(range(1, 8))
     assert quantiles._cut_points(values.where("_v < 0"), 8) == [float("-inf"), 0.0, float("inf")]
+
+
+def test_ranking_keeps_the_metrics_types(spark):
+    """A long beside a double, the smallest long, decimals, dates and text rank by their own values."""
+    top, least = 2**53, -(2**63)
+    data = [
+        (1, 1, top, 1.5, Decimal("0.10"), dt.date(2020, 1, 1), "b"),
+        (1, 2, top + 1, float("nan"), Decimal("12345678901234567.01"), None, "a"),
+        (1, 3, top + 2, None, Decimal("12345678901234567.02"), dt.date(1999, 1, 1), "c"),
+        (1, 4, least, float("-inf"), None, dt.date(2021, 1, 1), None),
+    ]
+    frame = spark.createDataFrame(data, "year int, month int, a long, x double, d decimal(20,2), t date, s string")
+    metrics = {"a": 2, "x": 3, "d": 4, "t": 5, "s": 6}
+    found = ranked_extremes(frame, list(metrics), k=4).collect()
+    for metric, at in metrics.items():
+        for direction in ("highest", "lowest"):
+            def key(r, at=at, direction=direction):
+                value = r[at]
+                if isinstance(value, float) and math.isnan(value):
+                    value = math.inf
+                return value
+
+            known = sorted((r for r in data if r[at] is not None), key=key, reverse=direction == "highest")
+            want = [r[1] for r in known] + [r[1] for r in data if r[at] is None]
+            got = sorted((r["rank"], r["month"]) for r in found if r["label"] == f"{direction}_{metric}")
+            assert [m for _, m in got] == want, (metric, direction)
+    assert [r["a"] for r in found if r["label"] == "lowest_a" and r["rank"] == 2] == [top]
