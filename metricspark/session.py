@@ -51,6 +51,15 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/metricspark/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders that ``work_path`` named and nothing reads any more."""
+    for path in paths:
+        if not path.startswith(f"{shared_root(spark)}/metricspark/"):
+            raise ValueError(f"not a work folder: {path}")
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if spark.sparkContext.getCheckpointDir() is None:
         root = shared_root(spark)
