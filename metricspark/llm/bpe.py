@@ -21,6 +21,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, PieceEncoder, replace_columns, tokenizer_path
+from metricspark.llm.common import Memo, PieceEncoder, release_memory, replace_columns, tokenizer_path
 
 LONG_WORD = 100
 # Words remembered by each Python worker.
@@ -154,17 +155,31 @@ def load_decoder(path: str) -> WordDecoder:
     return WordDecoder(path)
 
 
+def encode_batch(bpe: WordBpe, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of a batch's texts and where each begins, for a bounded number of texts at a time."""
+    for start in range(0, len(texts), PieceEncoder.SLICE):
+        yield bpe.pieces(texts.slice(start, PieceEncoder.SLICE))
+
+
+def _binary(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Each text's ids as one value of bytes."""
+    offsets = pa.py_buffer((at * 4).astype(np.int64))
+    stored = pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(ids))])
+    return stored.cast(pa.binary())
+
+
 def encode_text(df: DataFrame, text: str = "text", out: str = "token_ids", path: str | None = None) -> DataFrame:
     """Adds the ids of every text, as a binary of little-endian unsigned 32-bit integers."""
     path = path or tokenizer_path()
 
     @F.arrow_udf(T.BinaryType())
-    def encode(texts: pa.Array) -> pa.Array:
-        bpe, out = load_bpe(path), []
-        for start in range(0, len(texts), PieceEncoder.SLICE):
-            ids, at = bpe.pieces(texts.slice(start, PieceEncoder.SLICE))
-            out += [ids[a:b].tobytes() for a, b in zip(at, at[1:])]
-        return pa.array(out, type=pa.binary())
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe = load_bpe(path)
+        for texts in batches:
+            parts = [_binary(*coded) for coded in encode_batch(bpe, texts)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
+        bpe.pieces.forget()
+        release_memory()
 
     return replace_columns(df, {out: encode(F.coalesce(F.col(text).cast("string"), F.lit("")))})
 
@@ -174,23 +189,45 @@ def decode_ids(df: DataFrame, ids: str = "token_ids", out: str = "decoded", path
     path = path or tokenizer_path()
 
     @F.arrow_udf(T.StringType())
-    def decode(batch: pa.Array) -> pa.Array:
-        decoder, out = load_decoder(path), []
-        for start in range(0, len(batch), PieceEncoder.SLICE):
-            some = batch.slice(start, PieceEncoder.SLICE).to_pylist()
-            sizes = np.array([len(b) // 4 for b in some])
-            ids = np.frombuffer(b"".join(some), "<u4")
-            out.append(decoder(ids, np.cumsum([0, *sizes])).cast(pa.string()))
-        return pa.concat_arrays(out) if out else pa.array([], pa.string())
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        decoder = load_decoder(path)
+        for batch in batches:
+            out = []
+            for start in range(0, len(batch), PieceEncoder.SLICE):
+                some = batch.slice(start, PieceEncoder.SLICE).to_pylist()
+                sizes = np.array([len(b) // 4 for b in some])
+                ids = np.frombuffer(b"".join(some), "<u4")
+                out.append(decoder(ids, np.cumsum([0, *sizes])).cast(pa.string()))
+            yield pa.concat_arrays(out) if out else pa.array([], pa.string())
+        release_memory()
 
     return replace_columns(df, {out: decode(F.coalesce(F.col(ids), F.lit(b"")))})
 
 
+_CODED = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType())])
+
+
+def code_text(df: DataFrame, text: str = "text", ids: str = "token_ids", out: str = "decoded", path: str | None = None) -> DataFrame:
+    """``encode_text`` and ``decode_ids`` in one go: one Python worker a task, and ids cross over once."""
+    path = path or tokenizer_path()
+
+    @F.arrow_udf(_CODED)
+    def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        bpe, decoder = load_bpe(path), load_decoder(path)
+        for texts in batches:
+            coded = [(_binary(part, at), decoder(part, at).cast(pa.string())) for part, at in encode_batch(bpe, texts)]
+            columns = [pa.concat_arrays(c) for c in zip(*coded)] or [pa.array([], pa.binary()), pa.array([], pa.string())]
+            yield pa.StructArray.from_arrays(columns, names=["ids", "text"])
+        bpe.pieces.forget()
+        release_memory()
+
+    both = df.withColumn("_coded", code(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    return replace_columns(both, {ids: F.col("_coded.ids"), out: F.col("_coded.text")}).drop("_coded")
+
+
 def bpe_digests(documents: DataFrame) -> DataFrame:
     """The query's columns, derived from the encoded and decoded documents."""
-    encoded = encode_text(documents.select("doc_id", "text"))
-    coded = decode_ids(encoded.select("doc_id", "token_ids"))
-    return coded.select(
+    return code_text(documents.select("doc_id", "text")).select(
         "doc_id",
         (F.length("token_ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_ids", 256).alias("ids_sha256"),

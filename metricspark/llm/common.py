@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Callable
 
@@ -60,6 +62,16 @@ class Memo(dict):
         return value
 
 
+def release_memory() -> None:
+    """Gives back what a finished task no longer uses; workers live on, and others share their memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its own house
+        pass
+
+
 BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
 
 
@@ -97,6 +109,9 @@ class PieceEncoder:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def _look(self, words: list[str]) -> list[bytes]:
         young, old = self.young, self.old
         got = list(map(young.get, words))

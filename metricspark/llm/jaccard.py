@@ -15,14 +15,17 @@ The exact links between the others come from tiles:
   bitmaps of up to ``TILE_BITS`` bits bound the overlap from above: with d differing bits, two sets share at most (n + m - d) / 2 grams. Pairs
   left by that meet full bitmaps, which have a bit for every gram and fold to any
   smaller width; what is left then is decided exactly on the sorted arrays.
-* First each set takes the first partner of every tile that the bounds leave open. What
-  links already needs no further comparison, so the second pass over the tiles takes
-  all pairs but those within one component, and leaves out whole tiles of one: a family
-  of thousands of near copies gives as many pairs as its number, not its square. Tiles of more than ``BLOCK`` sets are cut in blocks,
-  one task for two of them.
-
-Components come from parent pointers with hooking and shortcuts, each round written
-to the shared folder.
+* Passes over the tiles unite families before all pairs are tried. In each pass a set takes the
+  first partner of another component that the bounds leave open, one a tile; links found are
+  contracted, and the next pass has only the sets of components that grew. A family of
+  thousands of near copies gives as many pairs as its number, not its square. When a pass
+  brings no link, all pairs that still lie in different components are tried, in blocks of
+  ``BLOCK`` sets where a tile is larger. A frequent gram's tile is dealt to several tasks by the
+  sets' hashes from the start.
+
+Components come from repeated contraction: every node goes to the neighbour (or itself) of least
+hash, and only edges between what is left go on, so rounds shrink. Each is written
+to the shared folder, and folders that nothing reads any more are deleted.
 
 Defined cases: null, empty and wordless texts have the empty set, link with nothing
 and are their own component; fewer than five words are one gram; texts of any length
@@ -33,6 +36,7 @@ null component; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +47,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import bound_batches
-from metricspark.session import work_path
+from metricspark.llm.common import bound_batches, release_memory
+from metricspark.session import discard, work_path
 
 WORDS = 5
 # likeness of at least 3/4: |a & b| * 7 >= 3 * (|a| + |b|)
@@ -139,7 +143,7 @@ def _profile(documents: DataFrame) -> DataFrame:
     """A row per document with its set's size, hash and bitmap; and reported grams."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        window, size, seen = [], 0, set()
+        window, size, seen = np.empty(0, np.uint64), 0, set()
 
         def batch_of(doc_ids, sizes, hashes, bits, grams, times):
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int32())
@@ -151,11 +155,15 @@ def _profile(documents: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "hash", "bits", "gram", "times"])
 
         def report():
-            nonlocal window, size, seen
-            grams, times = np.unique(np.concatenate(window), return_counts=True)
+            """What occurs often in the window, which is sorted in place."""
+            nonlocal size, seen
+            window[:size].sort()
+            first = np.flatnonzero(np.concatenate(([True], window[1:size] != window[: size - 1])))
+            times = np.diff(np.append(first, size))
             often = times >= REPORT
-            window, size, seen = [], 0, set()
-            return batch_of([], [], [], [], grams[often].astype(np.int64), times[often])
+            found = window[first[often]].astype(np.int64), times[often]
+            size, seen = 0, set()
+            return batch_of([], [], [], [], *found)
 
         for batch in batches:
             sizes, hashes, bits = [], [], []
@@ -165,13 +173,19 @@ def _profile(documents: DataFrame) -> DataFrame:
                 bits.append(bitmap(grams))
                 if len(grams) and hashes[-1] not in seen:  # copies don't make grams frequent
                     seen.add(hashes[-1])
-                    window.append(grams)
-                    size += len(grams)
-                    if size >= WINDOW:
+                    if size and size + len(grams) > WINDOW:
                         yield report()
+                    if size + len(grams) > len(window):  # grows with the input, to a window or one text
+                        grown = np.empty(max(min(2 * len(window), WINDOW), size + len(grams)), np.uint64)
+                        grown[:size] = window[:size]
+                        window = grown
+                    window[size : size + len(grams)] = grams
+                    size += len(grams)
             yield batch_of(batch.column(0).to_pylist() if batch.num_rows else [], sizes, hashes, bits, [], [])
-        if window:
+        if size:
             yield report()
+        del window
+        release_memory()
 
     return _narrow(documents).mapInArrow(scan, _PROFILE)
 
@@ -180,40 +194,42 @@ def _narrow(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
-def _postings(documents: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """(gram, hash, size) of what every set shows.
+def _postings(documents: DataFrame, frequent: np.ndarray, parts: np.ndarray) -> DataFrame:
+    """(gram, part, hash, size) of what every set shows; a frequent gram has several ``parts``.
 
     ``size`` holds the set's size in its upper and, in its lower 32 bits, how many of
     its grams stand at this one or later in the common order: two sets whose first
     common gram this is share no more than the lesser of these.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(frequent)
+    shared = documents.sparkSession.sparkContext.broadcast((frequent, parts))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, parts = shared.value
         for batch in batches:
             shown, hashes, sizes, done = [], [], [], set()
             for grams in gram_sets(batch.column(1)):
                 own = set_hash(grams)
                 if len(grams) and own not in done:
                     done.add(own)
-                    shown.append(prefix(grams, shared.value))
+                    shown.append(prefix(grams, frequent))
                     hashes.append(own)
                     sizes.append(len(grams))
             lengths = [len(s) for s in shown]
+            gram = np.concatenate([np.zeros(0, np.uint64), *shown])
+            hash_ = np.repeat(np.array(hashes, np.int64), lengths)
+            part = np.full(len(gram), -1, np.int32)  # of grams that are not known as frequent
+            if len(frequent):
+                at = np.minimum(np.searchsorted(frequent, gram), len(frequent) - 1)
+                often = frequent[at] == gram
+                part[often] = (hash_[often].view(np.uint64) % parts[at[often]]).astype(np.int32)
+            rest = [n - np.arange(k) for n, k in zip(sizes, lengths)]
+            size = (np.repeat(np.array(sizes, np.int64), lengths) << 32) + np.concatenate([np.zeros(0, np.int64), *rest]).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(0, np.uint64), *shown]).astype(np.int64)),
-                    pa.array(np.repeat(np.array(hashes, np.int64), lengths)),
-                    pa.array(
-                        np.concatenate(
-                            [np.zeros(0, np.int64), *((n << 32) + n - np.arange(k) for n, k in zip(sizes, lengths))]
-                        ).astype(np.int64)
-                    ),
-                ],
-                names=["gram", "hash", "size"],
+                [pa.array(gram.view(np.int64)), pa.array(part), pa.array(hash_), pa.array(size)], names=["gram", "part", "hash", "size"]
             )
+        release_memory()
 
-    return _narrow(documents.where(F.col("doc_id").isNotNull())).mapInArrow(scan, "gram long, hash long, size long")
+    return _narrow(documents.where(F.col("doc_id").isNotNull())).mapInArrow(scan, "gram long, part int, hash long, size long")
 
 
 def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
@@ -224,40 +240,43 @@ def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
 
 
 def _shared_postings(postings: DataFrame) -> DataFrame:
-    """Postings whose gram another set shows too.
+    """Postings whose gram another set shows too; those of frequent grams all stay.
 
-    Rows arrive by gram, size and hash; one row is carried over, never a tile.
+    Rows arrive by gram, part, size and hash; one row is carried over, never a tile.
     """
+    names = ["gram", "part", "hash", "size"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        none = np.zeros(0, np.int64)
-        held, joined = (none, none, none), False  # the last row, and whether it met its like
+        held, joined = tuple(np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int64)), False  # the last row, and whether it met its like
 
-        def emit(gram, hash_, size, keep):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(gram[keep]), pa.array(hash_[keep]), pa.array(size[keep])], names=["gram", "hash", "size"]
-            )
+        def emit(columns, keep):
+            return pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=names)
 
         for batch in batches:
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            gram, hash_, size = (np.concatenate(x) for x in zip(held, new))
-            first = np.ones(len(gram), bool)
-            first[1:] = (gram[1:] != gram[:-1]) | (hash_[1:] != hash_[:-1])
-            gram, hash_, size = gram[first], hash_[first], size[first]
+            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            columns = [np.concatenate(x) for x in zip(held, new)]
+            gram, part, hash_, _ = columns
+            tile = np.zeros(len(gram), bool)  # the same as in the row before
+            tile[1:] = (gram[1:] == gram[:-1]) & (part[1:] == part[:-1])
+            copy = tile.copy()
+            copy[1:] &= hash_[1:] == hash_[:-1]
+            # what a copy of the carried row repeats is its own meeting with its like
+            columns = [c[~copy] for c in columns]
+            gram, part = columns[:2]
             if not len(gram):
                 continue
-            same = np.zeros(len(gram) + 1, bool)  # with the row before
-            same[1:-1] = gram[1:] == gram[:-1]
+            same = np.zeros(len(gram) + 1, bool)
+            same[1:-1] = (gram[1:] == gram[:-1]) & (part[1:] == part[:-1])
             same[0] = joined
-            keep = same[:-1] | same[1:]
+            keep = same[:-1] | same[1:] | (part >= 0)
             keep[-1] = False  # waits for the row after it
-            yield emit(gram, hash_, size, keep)
-            held, joined = (gram[-1:], hash_[-1:], size[-1:]), bool(same[-2])
-        if joined:
-            yield emit(*held, np.ones(1, bool))
+            yield emit(columns, keep)
+            held, joined = tuple(c[-1:] for c in columns), bool(same[-2])
+        if len(held[0]) and (joined or held[1][0] >= 0):
+            yield emit(held, np.ones(1, bool))
 
-    ordered = postings.repartition("gram").sortWithinPartitions("gram", "size", "hash")
-    return ordered.mapInArrow(scan, "gram long, hash long, size long")
+    ordered = postings.repartition("gram", "part").sortWithinPartitions("gram", "part", "size", "hash")
+    return ordered.mapInArrow(scan, "gram long, part int, hash long, size long")
 
 
 # ---- comparing and verifying ------------------------------------------------
@@ -285,6 +304,8 @@ def _verify(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFram
     """Of (a, b) set hashes those that link, as representatives (u, v); stored."""
     spark = documents.sparkSession
     stored = _stored(pairs, "pairs")
+    if stored.isEmpty():
+        return spark.createDataFrame([], "u long, v long")
     needed = stored.select(F.col("a").alias("hash")).union(stored.select("b")).distinct()
     holders = _stored(sets.join(needed, "hash").select("rep").distinct(), "holders")
     texts = _narrow(documents).join(holders, F.col("doc_id") == F.col("rep"), "left_semi")
@@ -296,6 +317,7 @@ def _verify(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFram
                 [pa.array([set_hash(g) for g in found], pa.int64()), pa.array([g.tobytes() for g in found], pa.binary())],
                 names=["hash", "grams"],
             )
+        release_memory()
 
     held = _stored(texts.select("text").mapInArrow(arrays, "hash long, grams binary").dropDuplicates(["hash"]), "arrays")
     first = held.select(F.col("hash").alias("a"), F.col("grams").alias("ga"))
@@ -303,14 +325,31 @@ def _verify(pairs: DataFrame, documents: DataFrame, sets: DataFrame) -> DataFram
     links = stored.join(first, "a").join(second, "b").where(_linked("ga", "gb")).select("a", "b")
     u = sets.select(F.col("hash").alias("a"), F.col("rep").alias("u"))
     v = sets.select(F.col("hash").alias("b"), F.col("rep").alias("v"))
-    return _stored(links.join(u, "a").join(v, "b").select("u", "v").where(F.col("u") != F.col("v")), "links")
+    found = _stored(links.join(u, "a").join(v, "b").select("u", "v").where(F.col("u") != F.col("v")), "links")
+    _dropped(stored, holders, held)
+    return found
 
 
 def _stored(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again: computed once, and safe from lost executors."""
     path = work_path(df.sparkSession, f"jaccard-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    return stored
+
+
+def _replaced(old: DataFrame, new: DataFrame, name: str) -> DataFrame:
+    """``new`` stored, after which ``old``, that it was made from, is deleted."""
+    stored = _stored(new, name)
+    _dropped(old)
+    return stored
+
+
+def _dropped(*stored: DataFrame) -> None:
+    """Deletes the folders of stored tables that nothing reads any more."""
+    for df in stored:
+        discard(df.sparkSession, df.stored_at)
 
 
 def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -322,41 +361,45 @@ def _bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.where(7 * most >= 3 * (F.col("na") + F.col("nb"))).select("a", "b")
 
 
-def _open(size_a: np.ndarray, size_b: np.ndarray) -> np.ndarray:
-    """Whether sets of these sizes can link, this being their first common gram."""
-    n, m = size_a >> 32, size_b >> 32
-    most = np.minimum(np.minimum(size_a & 0xFFFFFFFF, size_b & 0xFFFFFFFF), np.minimum(n, m))
-    return 7 * most >= 3 * (n + m)
+def _first_partners(shared: DataFrame, named: DataFrame, turn: int) -> DataFrame:
+    """Per set and tile one pair, the first of another component that sizes and bitmaps leave open.
 
+    ``named`` is (hash, label, bits) of the sets that take part. Sets of one size stand in
+    another order each ``turn``, so that they meet other partners.
+    """
+    met = shared.join(named, "hash").select("gram", F.col("part").alias("low"), F.col("part").alias("high"), "size", "hash", F.lit(0).alias("own"), "label", "bits")
+    return _compared(met, first_only=True, turn=turn)
 
-def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Pairs of different components, from tiles, that sizes and bitmaps leave open.
 
-    Without ``labels`` each set is its own component, and gets the first such pair of
-    each tile only: no more pairs than postings.
-    """
-    first_only = labels is None
-    if first_only:
-        named = sets.select("hash", F.col("rep").alias("label"))
-    else:
-        named = sets.join(labels, "rep", "left").select("hash", F.coalesce("label", "rep").alias("label"))
-    rows = _stored(shared.select("gram", "hash", "size").join(named, "hash"), "labelled")
+def _all_pairs(shared: DataFrame, named: DataFrame) -> DataFrame:
+    """All pairs of different components, from tiles, that sizes and bitmaps leave open."""
+    rows = shared.join(named.select("hash", "label"), "hash").select("gram", "hash", "size", "label")
     tiles = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("least"), F.max("label").alias("most"))
     open_ = tiles.where(F.col("least") < F.col("most")).select("gram", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    met = rows.join(open_, "gram").join(sets.select("hash", _folded("bits").alias("bits")), "hash")
+    met = rows.join(open_, "gram").join(named.select("hash", "bits"), "hash")
     met = met.withColumn("own", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
         "gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "size", "hash", "own", "label", "bits"
     )
+    return _compared(met, first_only=False)
+
+
+def _compared(met: DataFrame, first_only: bool, turn: int = 0) -> DataFrame:
+    """Pairs (a, b) of set hashes within the tiles (gram, low, high)."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def run(table: pa.Table) -> pa.RecordBatch:
             gram, low, high, size, hash_, own, label = (np.asarray(table.column(i)).astype(np.int64) for i in range(7))
-            bits = table.column(7).to_pylist()
-            wide = np.array([len(x) for x in bits])
+            begins = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))
+            several = np.minimum.reduceat(label, begins) < np.maximum.reduceat(label, begins)
+            open_ = np.repeat(several, np.diff(np.append(begins, len(gram))))
+            # tiles of one component are done
+            gram, low, high, size, hash_, own, label = (c[open_] for c in (gram, low, high, size, hash_, own, label))
+            bits = table.column(7).filter(pa.array(open_)).to_pylist()
+            wide = np.array([len(x) for x in bits], np.int64)
             # at each width the bitmaps of all sets that have so many bits
             maps, w = {}, BITS // 8
             while w <= TILE_BITS // 8:
@@ -405,40 +448,39 @@ def _tile_pairs(shared: DataFrame, sets: DataFrame, labels: DataFrame | None = N
                 yield run(table.slice(0, ends[-1]))
                 table = table.slice(ends[-1])
             held = table.to_batches()
-        if held:
+        if held and sum(b.num_rows for b in held):
             yield run(pa.Table.from_batches(held).combine_chunks())
+        del held
+        release_memory()
 
-    dealt = met.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high", "size", "hash")
-    return _bounded(dealt.mapInArrow(compare, "a long, b long"), sets)
+    place = F.shiftright("size", 32), F.xxhash64("hash", F.lit(turn))
+    dealt = met.repartition("gram", "low", "high").sortWithinPartitions("gram", "low", "high", *place)
+    return dealt.mapInArrow(compare, "a long, b long")
 
 
 # ---- components -------------------------------------------------------------
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """(rep, label): the smallest number that links (u, v) reach from every one in them."""
-    edges = _stored(links.select("u", "v").union(links.select("v", "u")).distinct(), "edges")
-    parents = _stored(edges.select(F.col("u").alias("node")).distinct().withColumn("parent", F.col("node")), "parents")
-    total = None
-    for _ in range(most_rounds):
-        above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-        grand = parents.join(above, "parent").select("node", "parent", "grand")
-        near = edges.join(grand.select(F.col("node").alias("v"), "grand"), "v").groupBy("u").agg(F.min("grand").alias("near"))
-        hooked = grand.join(near, F.col("node") == F.col("u"))
-        # the parent and the node itself may move to the least grandparent among the neighbours
-        moves = F.array(
-            F.struct(F.col("parent").alias("n"), F.col("near").alias("to")),
-            F.struct(F.col("node").alias("n"), F.least("near", "grand").alias("to")),
-        )
-        moved = hooked.select(F.inline(moves)).groupBy(F.col("n").alias("node")).agg(F.min("to").alias("parent"))
-        parents = _stored(moved, "parents")
-        now = parents.agg(F.sum(F.col("parent").cast("decimal(38,0)"))).first()[0]
-        if now == total:  # parents only ever fall
-            break
-        total = now
-    else:
-        raise RuntimeError("components did not settle")
-    return parents.select(F.col("node").alias("rep"), F.col("parent").alias("label"))
+    spark = links.sparkSession
+    both = links.select("u", "v").union(links.select("v", "u")).where(F.col("u") != F.col("v"))
+    edges, moves = _stored(both.distinct(), "edges"), []
+    while not moves or not edges.isEmpty():
+        turn = F.lit(len(moves))
+        near = edges.groupBy("u").agg(F.min(F.struct(F.xxhash64("v", turn).alias("h"), "v")).alias("near"))
+        stays = F.xxhash64("u", turn) < F.col("near.h")
+        moves.append(_stored(near.select(F.col("u").alias("node"), F.when(stays, F.col("u")).otherwise(F.col("near.v")).alias("to")), "moves"))
+        of_u, of_v = (moves[-1].select(F.col("node").alias(c), F.col("to").alias(f"to_{c}")) for c in "uv")
+        moved = edges.join(of_u, "u").select("v", "to_u").distinct().join(of_v, "v").select(F.col("to_u").alias("u"), F.col("to_v").alias("v"))
+        edges = _replaced(edges, moved.where(F.col("u") != F.col("v")).distinct(), "edges")
+    ends = moves.pop()
+    while moves:
+        after = ends.select(F.col("node").alias("to"), F.col("to").alias("end"))
+        ends = moves.pop().join(after, "to", "left").select("node", F.coalesce("end", "to").alias("to"))
+    ends = _stored(ends, "ends")
+    least = ends.groupBy("to").agg(F.min("node").alias("label"))
+    return ends.join(least, "to").select(F.col("node").alias("rep"), "label")
 
 
 # ---- the operator -----------------------------------------------------------
@@ -462,24 +504,49 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     total = rows.agg(F.sum("n")).first()[0] or 0
     least = max(FREQUENT, REPORT * (total // WINDOW))
     # grams this frequent are at most WINDOW / REPORT in number
-    frequent = reported.where(F.col("times") >= least).select("gram").toPandas()["gram"].to_numpy(np.int64)
+    known = reported.where(F.col("times") >= least).toPandas().sort_values("gram", key=lambda g: g.to_numpy(np.int64).view(np.uint64))
+    frequent = known["gram"].to_numpy(np.int64).view(np.uint64)
+    parts = -(-known["times"].to_numpy(np.int64) // BLOCK).astype(np.uint64)
     sets = (
         rows.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
         .groupBy("hash")
         .agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"))
     )
     sets = _stored(sets, "sets")
-    shared = _stored(_shared_postings(_postings(documents, np.sort(frequent.view(np.uint64)))), "shared")
+    maps = _stored(sets.select("hash", "rep", _folded("bits").alias("bits")), "maps")
+    shared = _stored(_shared_postings(_postings(documents, frequent, parts)), "shared")
     same = _stored(_same_document(rows, sets), "same")
-    links = _verify(_tile_pairs(shared, sets), documents, sets).union(same)
-    labels = components(links)
-    more = _verify(_tile_pairs(shared, sets, labels), documents, sets)
-    labels = components(links.union(more))
-    named = sets.join(labels, "rep", "left").select(F.col("hash").alias("_hash"), F.coalesce("label", "rep").alias("_label"))
-    named = _stored(named, "named")
+    labels = _stored(sets.select("rep").union(same.select("u")).distinct().withColumn("label", F.col("rep")), "labels")
+    labels, grown = _contracted(labels, same)
+
+    def named(of: DataFrame) -> DataFrame:
+        return maps.join(of, "rep").select("hash", "label", "bits")
+
+    active = labels
+    for turn in itertools.count():
+        links = _verify(_bounded(_first_partners(shared, named(active), turn), sets), documents, sets)
+        labels, grown = _contracted(labels, links)
+        if grown is None:
+            break
+        active = labels.join(grown, "label", "left_semi")
+    labels, _ = _contracted(labels, _verify(_bounded(_all_pairs(shared, named(labels)), sets), documents, sets))
+    _dropped(shared, maps)
+    owners = _stored(sets.select("hash", "rep").join(labels, "rep").select(F.col("hash").alias("_hash"), F.col("label").alias("_label")), "named")
     filled = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    own = rows.where(filled).select("doc_id", "n", F.col("hash").alias("_hash")).join(named, "_hash", "left")
+    own = rows.where(filled).select("doc_id", "n", F.col("hash").alias("_hash")).join(owners, "_hash", "left")
     # rows without a set go with the other rows of their document
     others = rows.where(~filled).join(labels.select(F.col("rep").alias("doc_id"), F.col("label").alias("_label")), "doc_id", "left")
     both = own.select("doc_id", "n", "_label").unionByName(others.select("doc_id", "n", "_label"))
     return both.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("_label", "doc_id").alias("component_id"))
+
+
+def _contracted(labels: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Labels after links (u, v) between representatives, and the labels that grew, if any did."""
+    of_u, of_v = (labels.select(F.col("rep").alias(c), F.col("label").alias(f"label_{c}")) for c in "uv")
+    between = links.join(of_u, "u").join(of_v, "v").select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
+    between = _stored(between.where(F.col("u") != F.col("v")).distinct(), "between")
+    if between.isEmpty():
+        return labels, None
+    moved = _stored(components(between).select(F.col("rep").alias("label"), F.col("label").alias("new")), "moved")
+    joined = labels.join(moved, "label", "left").select("rep", F.coalesce("new", "label").alias("label"))
+    return _replaced(labels, joined, "labels"), moved.select(F.col("new").alias("label")).distinct()

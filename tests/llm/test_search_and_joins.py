@@ -1,3 +1,4 @@
+import pytest
 """Operators 2, 3 and 4 against brute force."""
 
 import base64
@@ -168,6 +169,38 @@ def test_op4_hot_families(spark, monkeypatch):
     assert collections.Counter(tuple(r) for r in got) == brute_components(rows)
 
 
+@pytest.mark.parametrize("edits", [3])
+def test_op4_pairs_of_a_family_grow_with_its_size(spark, monkeypatch, edits):
+    """Near copies of one text, each with its own random edits: pairs and links in proportion, one component."""
+    kept = {}
+    stored = jaccard._stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name in ("pairs", "links", "edges"):
+            kept.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "_stored", counted)
+    totals = []
+    for n in (300, 1200):
+        chance = random.Random(edits)
+        seed = [f"s{i}" for i in range(300)]
+        rows = []
+        for i in range(n):
+            words = list(seed)
+            for _ in range(edits):
+                words[chance.randrange(300)] = f"w{chance.randrange(10**6)}"
+            rows.append((i, " ".join(words)))
+        kept.clear()
+        got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["component_id"] for r in got} == {0}
+        totals.append({name: sum(counts) for name, counts in kept.items()})
+    for name, few in totals[0].items():
+        assert totals[1][name] <= 6 * few, (name, totals)
+    assert totals[1]["pairs"] <= 8 * 1200
+
+
 def test_op4_rows_of_one_document_have_one_component(spark):
     """Also where an unrelated text of it, or an empty one, links with nothing."""
     texts = [" ".join(f"{c}{i}" for i in range(20)) for c in "abcd"]
