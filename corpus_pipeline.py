@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metricspark.llm.bpe import decode_ids, encode_text
+from metricspark.llm.bpe import code_text
 from metricspark.llm.common import table
 from metricspark.llm.jaccard import jaccard_components
 from metricspark.llm.mixing import mixed_documents
@@ -59,7 +59,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = decode_ids(encode_text(docs.select("doc_id", "source", "text")).drop("text"))
+    coded = code_text(docs.select("doc_id", "source", "text"))
     return coded.select(
         "doc_id",
         "source",
