@@ -5,11 +5,12 @@ piece ends marked. Prefix sums of ``byte * base^place`` modulo 2^64 give the fin
 any word as a difference, and prefix sums over those give that of any run of words, so
 numpy hashes every n-gram of the batch in a few passes, whatever its length.
 
-1. Fingerprints of words are counted, by batch first, then by task, then shuffled.
+1. Fingerprints of words are counted: by task first, then shuffled by ranges of fingerprints, as
+   sorted arrays of the rest of their bits with counts, and added up range by range.
 2. So are those of pairs whose words are both frequent, then those of three and four
    words whose pairs are all frequent: a phrase is never more frequent than its parts.
-   What is frequent is passed on as a bit map of fixed size, so a part may be taken
-   for frequent wrongly, never the other way round.
+   What is frequent is passed on as a bit map of fixed size, and fingerprints are cut to
+   the range's bits and 32 more, so a part may be taken for frequent wrongly, never the other way round.
 3. The frequent fingerprints' occurrences are read from the text. In a batch each points
    at its place; it is compared, byte by byte, with the first occurrence of its fingerprint,
    and one that differs goes on by itself. So the phrase's text is the key of the final counts,
@@ -18,7 +19,7 @@ numpy hashes every n-gram of the batch in a few passes, whatever its length.
    windows over the frequent phrases.
 
 All languages go through the same steps; the language is part of the fingerprint. A
-frequent word or phrase is one row a task before any shuffle.
+frequent word or phrase is one entry a task before any shuffle.
 
 Defined cases: a null or empty text has no words; a null language is ``und``; repeated
 rows count as often as they occur; ties are ranked by the phrase's UTF-8 bytes; other
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from metricspark.llm.common import bound_batches
+from metricspark.llm.common import bound_batches, release_memory
 from metricspark.session import work_path
 
 LEAST, LONGEST, TOP = 30, 4, 2_000
@@ -46,8 +47,11 @@ SCORE_SCALE, INSIDE_PERCENT = 2_000_000, 80
 NO_LANGUAGE = "und"
 # Bits of the map of frequent fingerprints: 8 MB at most, whatever the input.
 MAP_BITS = 26
-# Bytes of text that are hashed at a time.
+# Bytes of text that are hashed at a time, and fingerprints that a task holds before it sends them on.
 BLOCK = 4 << 20
+HELD = 2 << 20
+# Fingerprints of one range, about, and the most ranges.
+RANGE_PRINTS, MOST_RANGES = 1 << 20, 1 << 16
 BLANK, END = 0x20, 0x0A
 # what separates words becomes a blank, what ends pieces a line feed
 MARKS = bytes.maketrans(b"\x09.,;:!?\x0b\x0c\x0d", b"\x20" + b"\x0a" * 9)
@@ -140,16 +144,46 @@ def _texts(documents: DataFrame) -> DataFrame:
     )
 
 
-def frequent_prints(texts: DataFrame, sizes: range, parts: int = 0, bits: np.ndarray | None = None, least: int = LEAST) -> DataFrame:
-    """``print, n``: fingerprints of ``sizes`` words that occur ``least`` times.
+def _range_bits(texts: DataFrame) -> int:
+    """Bits that pick the range: as many ranges as the texts' bytes ask for, at five bytes a word."""
+    volume = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ranges = min(MOST_RANGES, max(64, volume // (5 * RANGE_PRINTS)))
+    return (ranges - 1).bit_length()
 
-    Only runs count of which the map ``bits`` holds all runs of ``parts`` words.
+
+def _binaries(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The parts of an array between ``cuts``, each as one value of bytes."""
+    offsets = pa.py_buffer((cuts * values.itemsize).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def frequent_map(texts: DataFrame, sizes: range, range_bits: int, parts: int = 0, bits: np.ndarray | None = None, least: int = LEAST) -> np.ndarray:
+    """The bit map, by their first ``MAP_BITS`` bits, of fingerprints of ``sizes`` words that occur ``least`` times.
+
+    Only runs count of which the map ``bits`` holds all runs of ``parts`` words. A count
+    need not be known beyond ``least``. At most 2^(MAP_BITS - 6) rows of two numbers are
+    read by the driver.
     """
+    kind = np.dtype("<u1" if least < 256 else "<u4")
+    shift = np.uint64(64 - range_bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def sent() -> pa.RecordBatch:
+            prints, counts = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            part = prints >> shift
+            first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.zeros(0, np.int64)
+            cuts = np.append(first, len(prints))
+            rest = ((prints >> (shift - np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype("<u4")
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part[first].astype(np.int32)), _binaries(rest, cuts), _binaries(np.minimum(counts, least).astype(kind), cuts)],
+                names=["part", "prints", "counts"],
+            )
+
         for batch in batches:
             for block, _, _ in blocks(batch):
-                found = []
                 if bits is not None:
                     places, prints = block.grams(parts)
                     frequent = np.zeros(len(block.start) + LONGEST, bool)
@@ -158,21 +192,50 @@ def frequent_prints(texts: DataFrame, sizes: range, parts: int = 0, bits: np.nda
                     at, prints = block.grams(size)
                     if bits is not None:
                         prints = prints[np.logical_and.reduce([frequent[at + k] for k in range(size - parts + 1)])]
-                    found.append(prints)
-                prints, counts = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(counts)], names=["print", "n"])
+                    held.append(prints)
+                if sum(map(len, held)) >= HELD:
+                    yield sent()
+        if held:
+            yield sent()
+        release_memory()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, prints, counts, waiting = None, [], [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            rest, group = np.unique(np.concatenate(prints), return_inverse=True)
+            return rest, np.minimum(np.bincount(group, np.concatenate(counts), len(rest)), least).astype(kind)
+
+        def found() -> pa.RecordBatch:
+            rest, times = merged()
+            often = (np.uint64(current) << shift) | (rest[times >= least].astype(np.uint64) << (shift - np.uint64(32)))
+            place = often >> np.uint64(64 - MAP_BITS)
+            words, group = np.unique(place >> np.uint64(6), return_inverse=True)
+            out = np.zeros(len(words), np.uint64)
+            np.bitwise_or.at(out, group, np.uint64(1) << (place & np.uint64(63)))
+            return pa.RecordBatch.from_arrays([pa.array(words.astype(np.int64)), pa.array(out.view(np.int64))], names=["word", "bits"])
 
-    counted = texts.mapInArrow(count, "print long, n long").groupBy("print").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least)
-
-
-def print_map(frequent: DataFrame) -> np.ndarray:
-    """The bits of fingerprints, by their first ``MAP_BITS`` bits; at most 2^(MAP_BITS - 6) rows are read."""
-    place = F.shiftrightunsigned("print", 64 - MAP_BITS)
-    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(print, {64 - MAP_BITS}) & 63 as int))")
-    words = frequent.groupBy(F.shiftrightunsigned(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        for batch in batches:
+            for part, some, times in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != current:
+                    if current is not None:
+                        yield found()
+                    current, prints, counts, waiting = part, [], [], 0
+                prints.append(np.frombuffer(some, "<u4"))
+                counts.append(np.frombuffer(times, kind))
+                waiting += len(prints[-1])
+                if waiting >= 4 * RANGE_PRINTS:  # a range's parts are added up as they come
+                    rest, times = merged()
+                    prints, counts, waiting = [rest], [times], 0
+        if current is not None:
+            yield found()
+        release_memory()
+
+    sent = texts.mapInArrow(count, "part int, prints binary, counts binary")
+    dealt = sent.repartition("part").sortWithinPartitions("part")
+    words = dealt.mapInArrow(add_up, "word long, bits long").toArrow()
     out = np.zeros(1 << (MAP_BITS - 6), np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    np.bitwise_or.at(out, words.column("word").to_numpy(), words.column("bits").to_numpy().view(np.uint64))
     return out
 
 
@@ -187,8 +250,11 @@ def _differ(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndar
     return differ
 
 
-def phrase_batches(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """``lang, size, phrase, n`` of each block; of size 0, the number of its words."""
+def phrase_batches(batches: Iterator[pa.RecordBatch], maps: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """``lang, size, phrase, n`` of each block; of size 0, the number of its words.
+
+    ``maps`` are those of words, pairs and longer runs; a run is read if its parts are too.
+    """
     for batch in batches:
         for block, codes, names in blocks(batch):
             lang, data = codes[block.text], block.bytes.tobytes()
@@ -198,8 +264,13 @@ def phrase_batches(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Itera
                     phrases = [""] * len(of)
                 else:
                     at, prints = block.grams(size)
-                    some = holds(bits, prints)
+                    some = holds(maps[min(size, len(maps)) - 1], prints)
+                    if size > 1:
+                        some &= np.logical_and.reduce([read[at + k] for k in range(size - inner + 1)])
                     at, prints = at[some], prints[some]
+                    if size <= 2:  # what longer runs must consist of
+                        read, inner = np.zeros(len(block.start) + LONGEST, bool), size
+                        read[at] = True
                     _, first, group = np.unique(prints, return_index=True, return_inverse=True)
                     start, end = block.ranges(at, size)
                     # what differs from the first occurrence of its fingerprint goes on alone
@@ -215,9 +286,9 @@ def phrase_batches(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Itera
                 )
 
 
-def phrase_counts(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``lang, size, phrase, n``: exact counts of the phrases that the map may hold; of size 0, all words."""
-    counted = texts.mapInArrow(lambda batches: phrase_batches(batches, bits), "lang string, size int, phrase string, n long")
+def phrase_counts(texts: DataFrame, maps: list[np.ndarray]) -> DataFrame:
+    """``lang, size, phrase, n``: exact counts of the phrases that the maps may hold; of size 0, all words."""
+    counted = texts.mapInArrow(lambda batches: phrase_batches(batches, maps), "lang string, size int, phrase string, n long")
     return counted.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -225,12 +296,11 @@ def frequent_phrases(documents: DataFrame, least: int = LEAST) -> DataFrame:
     """``lang, size, phrase, n``: all phrases of one to four words that occur ``least`` times, and words in all as size 0."""
     texts = _texts(documents)
     spark = documents.sparkSession
-    bits, all_bits = None, np.zeros(1 << (MAP_BITS - 6), np.uint64)
+    range_bits, maps = _range_bits(texts), []
     for sizes, parts in ((range(1, 2), 0), (range(2, 3), 1), (range(3, LONGEST + 1), 2)):
-        bits = print_map(frequent_prints(texts, sizes, parts, bits, least))
-        all_bits |= bits
+        maps.append(frequent_map(texts, sizes, range_bits, parts, maps[-1] if maps else None, least))
     path = work_path(spark, "phrases")
-    counted = phrase_counts(texts, all_bits)
+    counted = phrase_counts(texts, maps)
     counted.where((F.col("n") >= least) | (F.col("size") == 0)).write.parquet(path)
     return spark.read.parquet(path)
 

@@ -158,7 +158,7 @@ def test_colliding_fingerprints_are_told_apart_by_text(spark, monkeypatch):
     rows = phrase_rows(6)[:30]
     table = spark.createDataFrame(rows, "lang string, text string")
     texts = phrases._texts(table)
-    all_bits = np.full(1 << (phrases.MAP_BITS - 6), np.uint64(2**64 - 1))
+    all_bits = [np.full(1 << (phrases.MAP_BITS - 6), np.uint64(2**64 - 1))] * 3
     batch = pa.RecordBatch.from_pylist([r.asDict() for r in texts.collect()])
     want = {tuple(r) for r in phrases.phrase_counts(texts, all_bits).collect()}
     strong, found = phrases.Block.grams, Counter()
@@ -169,6 +169,21 @@ def test_colliding_fingerprints_are_told_apart_by_text(spark, monkeypatch):
     assert {(*k, n) for k, n in found.items()} == want
 
 
+@pytest.mark.parametrize("held, range_prints", [(1, 1), (50, 4), (1 << 21, 1 << 20)])
+def test_maps_hold_all_that_is_frequent(spark, monkeypatch, held, range_prints):
+    """However the fingerprints are sent and added up; counts beyond a byte do not wrap."""
+    monkeypatch.setattr(phrases, "HELD", held)
+    monkeypatch.setattr(phrases, "RANGE_PRINTS", range_prints)
+    rows = [*phrase_rows(7), ("en", "one two three " * 700)]
+    texts = phrases._texts(spark.createDataFrame(rows, "lang string, text string").repartition(5))
+    batch = pa.RecordBatch.from_pylist([r.asDict() for r in texts.collect()])
+    for least in (5, 300):
+        got = phrases.frequent_map(texts, range(1, 2), phrases._range_bits(texts), least=least)
+        prints = np.concatenate([b.grams(1)[1] for b, _, _ in phrases.blocks(batch)])
+        known, times = np.unique(prints, return_counts=True)
+        assert phrases.holds(got, known).tolist() == (times >= least).tolist()
+
+
 def test_no_documents_have_no_collocations(spark, no_documents, odd_documents):
     assert phrases.collocations(no_documents).count() == 0
     assert {r.lang for r in phrases.collocations(odd_documents, least=5, top=3).collect()} == {"la"}
