@@ -9,6 +9,8 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -387,9 +389,13 @@ def sweep_k(
 ) -> KSweep:
     """Fit k-means for each k up to the number of distinct points and score the silhouette.
 
-    ``parallelism`` fits run side by side, so that the small jobs of one leave no
-    executor idle. Returns the scores ``(k, n_clusters, silhouette, wssse)`` and the
-    model of the best k.
+    Every k starts from the library's own first centers, ``parallelism`` of them chosen
+    side by side. From there all k go on together: one pass a round finds each point's
+    nearest center for every k that has not settled, and one pass scores them all. The rules are
+    those of the library's fit (nearest center, the first of equals; an empty cluster keeps
+    its center; 20 rounds or no center moving over 1e-4), and the chosen k is fitted by it.
+    Returns the scores ``(k, n_clusters, silhouette, wssse)``, the last being the
+    points' squared distance to their final centers, and the model of the best k.
     """
     top = min(max_k, points.n_distinct)
     if points.n_distinct < 2:
@@ -398,36 +404,133 @@ def sweep_k(
         raise ValueError(f"no k between {min_k} and {top}")
     spark = points.frame.sparkSession
 
-    def fit(k: int) -> ClusterModel:
-        return fit_kmeans(points, k, seed=seed)
+    def first_centers(k: int) -> np.ndarray:
+        start = KMeans(featuresCol="features", weightCol="_w", k=k, seed=seed, solver="row", maxIter=0)
+        return np.array(start.fit(points.frame).clusterCenters())
 
     ks = list(range(min_k, top + 1))
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(ks)))) as pool:
-        models = dict(zip(ks, pool.map(inheritable_thread_target(spark)(fit), ks), strict=True))
+        starts = dict(zip(ks, pool.map(inheritable_thread_target(spark)(first_centers), ks), strict=True))
 
-    # Few points make few partitions, which is right for fitting side by side;
-    # scoring is one job and spreads over all cores.
-    spread = points.frame
+    # Few points make few partitions, which is right for choosing centers side by side;
+    # a pass for all k is one job and spreads over all cores.
+    spread = points.frame.select(*points.columns, "_w")
     if points.partitions < spark.sparkContext.defaultParallelism:
         spread = spread.repartition(spark.sparkContext.defaultParallelism)
+    spread = spread.persist(StorageLevel.MEMORY_AND_DISK)
     quality = {}
-    for batch in _batches(ks):
-        labelled = spread
-        for k in batch:
-            labelled = models[k].kmeans.copy().setPredictionCol(str(k)).transform(labelled)
-        ids = [F.col(c) for c in (*points.columns, "_w")]
-        long = labelled.unpivot(ids, [col(str(k)) for k in batch], "k", "cluster")
-        for row in silhouette(long, points.columns, "cluster", labelling="k", weight="_w").collect():
-            quality[int(row["k"])] = (row["n_clusters"], row["silhouette"])
+    try:
+        for batch in _batches(ks):
+            settled = settle_centers(spread, points.columns, {k: starts[k] for k in batch})
+            quality |= _scored_centers(spread, points.columns, settled)
+    finally:
+        spread.unpersist()
 
     best = max((k for k in ks if quality[k][1] is not None), key=lambda k: quality[k][1], default=None)
     if best is None:
         raise ValueError("no k gave two or more clusters")
-    scores = spark.createDataFrame(
-        [(k, *quality[k], models[k].kmeans.summary.trainingCost) for k in ks],
-        "k int, n_clusters int, silhouette double, wssse double",
-    )
-    return KSweep(scores, best, models[best])
+    scores = spark.createDataFrame([(k, *quality[k]) for k in ks], "k int, n_clusters int, silhouette double, wssse double")
+    return KSweep(scores, best, fit_kmeans(points, best, seed=seed))
+
+
+# Rows compared with all centers at a time.
+ROWS_AT_A_TIME = 2_048
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Points and weights, some rows at a time; the weight is the last column."""
+    for batch in batches:
+        columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        for start in range(0, batch.num_rows, ROWS_AT_A_TIME):
+            *x, w = (c[start : start + ROWS_AT_A_TIME] for c in columns)
+            yield np.column_stack(x), w
+
+
+def _squared(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances of all points to all centers."""
+    return sum((x[:, i, None] - centers[None, :, i]) ** 2 for i in range(x.shape[1]))
+
+
+def _cluster_sums(frame: DataFrame, columns: Sequence[str], centers: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """For every k and cluster: weight, squared distance to the center, weighted norm and sums of its points.
+
+    One pass for all k; a task sends one row a cluster, and the driver reads as many.
+    """
+    names = ["weight", "cost", "norm", *(f"s{i}" for i in range(len(columns)))]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {k: np.zeros((len(names), len(c))) for k, c in centers.items()}
+        for x, w in _pieces(batches):
+            norm = (x**2).sum(1)
+            for k, some in centers.items():
+                gaps = _squared(x, some)
+                nearest = gaps.argmin(1)
+                values = (w, w * gaps[np.arange(len(x)), nearest], w * norm, *(w * x[:, i] for i in range(x.shape[1])))
+                for total, value in zip(totals[k], values):
+                    total += np.bincount(nearest, value, len(some))
+        sizes = [len(c) for c in centers.values()]
+        both = np.concatenate(list(totals.values()), axis=1)
+        ids = [pa.array(np.repeat(list(centers), sizes).astype(np.int32)), pa.array(np.concatenate([np.arange(n) for n in sizes]).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([*ids, *map(pa.array, both)], names=["k", "cluster", *names])
+
+    schema = "k int, cluster int, " + ", ".join(f"{n} double" for n in names)
+    summed = frame.mapInArrow(add, schema).groupBy("k", "cluster").agg(*(F.sum(n).alias(n) for n in names)).collect()
+    out = {k: np.zeros((len(c), len(names))) for k, c in centers.items()}
+    for row in summed:
+        out[row["k"]][row["cluster"]] = row[2:]
+    return out
+
+
+def settle_centers(
+    frame: DataFrame, columns: Sequence[str], starts: dict[int, np.ndarray], *, rounds: int = 20, tolerance: float = 1e-4
+) -> dict[int, np.ndarray]:
+    """Lloyd's steps for several k at once, each until its centers settle."""
+    settled, moving = dict(starts), set(starts)
+    for _ in range(rounds):
+        if not moving:
+            break
+        for k, sums in _cluster_sums(frame, columns, {k: settled[k] for k in sorted(moving)}).items():
+            before, filled = settled[k], sums[:, 0] > 0
+            after = before.copy()
+            after[filled] = sums[filled, 3:] / sums[filled, :1]
+            settled[k] = after
+            if (((after - before) ** 2).sum(1) <= tolerance**2).all():
+                moving.discard(k)
+    return settled
+
+
+def _scored_centers(frame: DataFrame, columns: Sequence[str], centers: dict[int, np.ndarray]) -> dict[int, tuple]:
+    """``(n_clusters, silhouette, wssse)`` for every k, in two passes."""
+    known = {}
+    for k, sums in _cluster_sums(frame, columns, centers).items():
+        filled = sums[:, 0] > 0
+        weight, means = sums[filled, 0], sums[filled, 3:] / sums[filled, :1]
+        spread = np.maximum(sums[filled, 2] / weight - (means**2).sum(1), 0)
+        # the clusters that hold points, and where each of the centers stands among them
+        known[k] = weight, means, spread, np.cumsum(filled) - 1, sums[:, 1].sum()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = dict.fromkeys(known, 0.0)
+        for x, w in _pieces(batches):
+            for k, (weight, means, spread, place, _) in known.items():
+                if len(weight) < 2:
+                    continue
+                mine = place[_squared(x, centers[k]).argmin(1)]
+                mean = _squared(x, means) + spread
+                at, n = np.arange(len(x)), weight[mine]
+                # the mean over the rest of the own cluster leaves out the row itself
+                own = mean[at, mine] * n / np.maximum(n - 1, 1)
+                mean[at, mine] = np.inf
+                other = mean.min(1)
+                alike = (n == 1) | (own == other)
+                totals[k] += (w * np.where(alike, 0, (other - own) / np.where(alike, 1, np.maximum(own, other)))).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int32()), pa.array(list(totals.values()), pa.float64())], names=["k", "score"])
+
+    scores = dict(frame.mapInArrow(score, "k int, score double").groupBy("k").agg(F.sum("score")).collect())
+    return {
+        k: (len(weight), float(scores[k] / weight.sum()) if len(weight) > 1 else None, float(cost))
+        for k, (weight, _, _, _, cost) in known.items()
+    }
 
 
 def _batches(ks: Sequence[int], clusters: int = 2_000) -> Iterator[list[int]]:

@@ -296,3 +296,38 @@ def test_silhouette_with_fifty_thousand_clusters(spark):
     own = (values**2 - 2 * values * mean[:, None] + square[:, None]) * each / (each - 1)
     assert found["n_clusters"] == k
     assert found["silhouette"] == pytest.approx(((best - own) / np.maximum(best, own)).mean(), rel=1e-4)
+
+
+def test_sweep_against_single_fits_and_the_library_s_evaluator(spark):
+    """Every k's score and cost, and so the choice of k, are those of single fits."""
+    rng = random.Random(21)
+    frame = spark.createDataFrame(
+        [(rng.gauss(10 * (i % 4), 1.0), rng.gauss(7 * (i % 3), 1.0)) for i in range(400)] * 2, "v double, u double"
+    )
+    with prepare_points(frame, ["v", "u"], order="value") as points:
+        sweep = sweep_k(points, max_k=14)
+        single = {k: fit_kmeans(points, k) for k in range(2, 15)}
+        expected = {}
+        for k, model in single.items():
+            assigned = model.kmeans.transform(points.frame.union(points.frame))  # every point occurs twice
+            expected[k] = ClusteringEvaluator().evaluate(assigned), model.kmeans.summary.trainingCost
+    got = {r["k"]: r for r in sweep.scores.collect()}
+    assert set(got) == set(expected)
+    for k, (score, cost) in expected.items():
+        assert got[k]["silhouette"] == pytest.approx(score, rel=1e-6)
+        # the library's cost is that before its last step
+        assert got[k]["wssse"] <= cost * (1 + 1e-9) and got[k]["wssse"] == pytest.approx(cost, rel=0.02)
+    assert sweep.best_k == max(expected, key=lambda k: expected[k][0])
+    assert sweep.model.n_clusters == single[sweep.best_k].n_clusters
+
+
+def test_settled_centers_are_the_library_s(spark):
+    rng = random.Random(5)
+    with prepare_points(_points(spark, [rng.gauss(20 * (i % 5), 2) for i in range(300)]), ["v"], order="value") as points:
+        starts = {
+            k: np.array(KMeans(featuresCol="features", weightCol="_w", k=k, seed=30, solver="row", maxIter=0).fit(points.frame).clusterCenters())
+            for k in (2, 5, 9)
+        }
+        settled = clustering.settle_centers(points.frame.select("_x0", "_w"), ["_x0"], starts)
+        for k, centers in settled.items():
+            assert centers[:, 0] == pytest.approx([c[0] for c in fit_kmeans(points, k).kmeans.clusterCenters()], rel=1e-9)
