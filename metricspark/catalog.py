@@ -16,15 +16,21 @@ from metricspark.operators import (
     consolidate_runs,
     distance_to_center,
     distinct_points,
+    distinct_sketches,
     diurnal_profile,
+    merged_distinct,
+    merged_stats,
+    period_states,
     period_stats,
     prepare_points,
+    quantile_sketches,
     quantile_summary,
     ranked_extremes,
     run_summary,
     scale_features,
     series_quantiles,
     silhouette,
+    sketch_quantiles,
     sweep_k,
     to_long,
 )
@@ -42,11 +48,15 @@ from metricspark.sources import (
     clean,
     csv_to_parquet,
     dataset_names,
+    kept_records,
     merge,
+    merge_latest,
     read_catalogue,
     read_points,
     read_series,
+    rejected_records,
     series_of,
+    split_records,
 )
 from metricspark.spec import PointSpec, SeriesSpec
 from metricspark.streaming import land_csv
@@ -323,6 +333,127 @@ def ingest_incremental(spark, sf_dir):
     return landed(spark, target)
 
 
+def _arriving_events(spark, sf_dir) -> DataFrame:
+    return _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.lpad((F.col("user_id") % 7).cast("string"), 3, "0").alias("zone"),
+        F.date_format("ts", TEXT_TIME).alias("Datetime (UTC)"),
+        "value",
+    )
+
+
+def _land_in_batches(spark, sf_dir) -> tuple[str, str]:
+    """Five arrivals of events, landed one by one; each batch's folder is merged and its statistics kept."""
+    source, target, marks, states = (work_path(spark, n) for n in ("arriving", "landed", "marks", "states"))
+    events = _arriving_events(spark, sf_dir)
+
+    def keep_states(batch: DataFrame, number: int) -> None:
+        period_states(batch, ["year", "month"], metrics=["value"]).write.mode("overwrite").parquet(f"{states}/batch={number}")
+
+    for i in range(5):
+        write_result(events.where(F.pmod("event_id", F.lit(5)) == i), source, mode="append")
+        land_csv(
+            spark,
+            source,
+            target,
+            marks,
+            events.columns,
+            select={
+                "event_id": "try_cast(event_id as bigint)",
+                "zone": "zone",
+                "ts": f"cast(try_to_timestamp(Datetime__UTC_, '{TEXT_TIME}') as timestamp_ntz)",
+                "value": "try_cast(value as double)",
+            },
+            partition_by="zone",
+            merge_above=2,
+            also=keep_states,
+        ).awaitTermination()
+    return target, states
+
+
+@query(
+    "ingest_merged_folders",
+    """
+    select event_id, lpad(cast(user_id % 7 as varchar), 3, '0') as zone, date_trunc('second', ts) as ts, value
+    from events
+    """,
+)
+def ingest_merged_folders(spark, sf_dir):
+    target, _ = _land_in_batches(spark, sf_dir)
+    return landed(spark, target)
+
+
+@query(
+    "period_stats_incremental",
+    """
+    select lpad(cast(user_id % 7 as varchar), 3, '0') as zone, cast(year(ts) as integer) as year,
+           cast(month(ts) as integer) as month, round(avg(value), 6) as value_avg, min(value) as value_min,
+           max(value) as value_max
+    from events
+    group by all
+    """,
+)
+def period_stats_incremental(spark, sf_dir):
+    """From the states that each landed batch left; the readings are not read again."""
+    _, states = _land_in_batches(spark, sf_dir)
+    return merged_stats(spark.read.parquet(states), ["zone", "year", "month"])
+
+
+@query(
+    "ingest_quarantine",
+    """
+    select o_orderkey as order_key,
+           case when o_totalprice >= 1000 and o_orderpriority <> '5-LOW' then o_totalprice end as price,
+           case when o_totalprice is null or o_totalprice < 1000 then 'price'
+                when o_orderpriority is null or o_orderpriority = '5-LOW' then 'priority' end as reason,
+           count(*) over (partition by case when o_totalprice is null or o_totalprice < 1000 then 'price'
+                when o_orderpriority is null or o_orderpriority = '5-LOW' then 'priority' end) as counted
+    from orders
+    """,
+)
+def ingest_quarantine(spark, sf_dir):
+    """All orders: the kept ones cleaned, the others with the rule they broke; ``counted`` while writing."""
+    path = work_path(spark, "orders-judged")
+    raw = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Order (key)"), F.col("o_totalprice").cast("string").alias("Total price"), F.col("o_orderpriority").alias("priority")
+    )
+    counts = split_records(
+        raw,
+        path,
+        rules={"price": "try_cast(Total_price as double) >= 1000", "priority": "priority <> '5-LOW'"},
+        select={"order_key": "Order__key_", "price": "try_cast(Total_price as double)"},
+    )
+    kept = kept_records(spark, path).select("order_key", "price", F.lit(None).cast("string").alias("reason"))
+    rejected = rejected_records(spark, path).select(F.col("Order__key_").alias("order_key"), F.lit(None).cast("double").alias("price"), "reason")
+    counted = F.coalesce(*(F.when(F.coalesce("reason", F.lit("kept")) == name, F.lit(n)) for name, n in counts.items()))
+    return kept.unionByName(rejected).withColumn("counted", counted.cast("long"))
+
+
+@query(
+    "ingest_merge_latest",
+    """
+    with united as (
+        select event_type as zone, ts, event_id as version, value, 0 as dataset from events
+        union all
+        select event_type, ts, event_id, case when user_id % 2 = 0 then value + 1 end, 1 from events where user_id % 3 = 0
+        union all
+        select event_type, date_trunc('hour', ts), event_id, value, 2 from events)
+    select zone, ts, version, value from united
+    qualify row_number() over (partition by zone, ts order by version desc nulls last, dataset desc) = 1
+    """,
+)
+def ingest_merge_latest(spark, sf_dir):
+    """Events, corrections of a third of them and hourly ones, which overlap in zone and time."""
+    events = _table(spark, sf_dir, "events").withColumnsRenamed({"event_type": "zone", "event_id": "version"})
+    corrected = F.when(F.col("user_id") % 2 == 0, F.col("value") + 1)
+    frames = [
+        events.select("zone", "ts", "version", "value"),
+        events.where("user_id % 3 = 0").select("zone", "ts", "version", corrected.alias("value")),
+        events.select("zone", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "version", "value"),
+    ]
+    return merge_latest(frames, ["zone", "ts"], version="version")
+
+
 # --- scalar functions ---------------------------------------------------------------
 
 
@@ -539,6 +670,50 @@ def distinct_balances(spark, sf_dir):
     return distinct_points(_balances(spark, sf_dir), ["c_acctbal"])
 
 
+@query(
+    "distinct_points_approx",
+    """
+    select 'all' as part, true as close
+    union all select cast(c_nationkey as varchar), true from customer group by c_nationkey
+    """,
+)
+def distinct_points_approx(spark, sf_dir):
+    """Whether the merged sketches are within 8 % of the exact numbers, over all and by nation."""
+    customers = _table(spark, sf_dir, "customer")
+    parts = distinct_sketches(customers.withColumn("day", F.col("c_custkey") % 30), ["c_acctbal", "c_mktsegment"], ["c_nationkey", "day"])
+    nations = merged_distinct(parts, ["c_nationkey"]).select(F.col("c_nationkey").cast("string").alias("part"), "n_distinct")
+    found = nations.unionByName(merged_distinct(parts).select(F.lit("all").alias("part"), "n_distinct"))
+    points = customers.select(F.col("c_nationkey").cast("string").alias("part"), F.array(F.col("c_acctbal").cast("string"), "c_mktsegment").alias("p"))
+    exact = points.unionByName(points.withColumn("part", F.lit("all"))).groupBy("part").agg(F.countDistinct("p").alias("n"))
+    return found.join(exact, found["part"].eqNullSafe(exact["part"])).select(
+        found["part"], (F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(F.lit(1.0), 0.08 * F.col("n"))).alias("close")
+    )
+
+
+@query(
+    "sketch_quantiles",
+    """
+    select event_type as zone, count(value) as n_rows, true as p25_close, true as p50_close, true as p75_close
+    from events group by event_type
+    """,
+)
+def stored_sketch_quantiles(spark, sf_dir):
+    """Quartiles by zone from sketches stored by zone and day; whether each lies within 0.5 % of its rank."""
+    path = work_path(spark, "sketches")
+    events = _events(spark, sf_dir)
+    quantile_sketches(events.withColumn("day", F.to_date("ts")), ["zone", "day"], "value").write.parquet(path)
+    found = sketch_quantiles(spark.read.parquet(path), ["zone"])
+    # the rank that each answer really has among the readings
+    met = events.where(F.col("value").isNotNull()).join(F.broadcast(found), "zone")
+    ranks = (
+        F.struct((F.count_if(F.col("value") < F.col(p)) / F.count(F.lit(1))).alias("low"), (F.count_if(F.col("value") <= F.col(p)) / F.count(F.lit(1))).alias("high")).alias(p)
+        for p in ("p25", "p50", "p75")
+    )
+    placed = met.groupBy("zone", "n_rows").agg(*ranks)
+    close = (((F.col(f"{p}.low") <= q + 0.005) & (F.col(f"{p}.high") >= q - 0.005)).alias(f"{p}_close") for p, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)))
+    return placed.select("zone", "n_rows", *close)
+
+
 @query(
     "cluster_features",
     """

@@ -1,8 +1,19 @@
 import pytest
 
-from metricspark.sources import clean, csv_to_parquet, merge, normalise_names
+from pyspark.sql import functions as F
+
+from metricspark.sources import (
+    clean,
+    csv_to_parquet,
+    kept_records,
+    merge,
+    merge_latest,
+    normalise_names,
+    rejected_records,
+    split_records,
+)
 from metricspark.sources.ingest import normalise_name, write_zoned
-from metricspark.streaming import land_csv
+from metricspark.streaming import land_csv, landing
 from metricspark.streaming.landing import landed
 
 from frame_rows import rows
@@ -93,3 +104,89 @@ def test_hot_zone_is_written_by_many_tasks(spark, tmp_path):
     assert all(n == 1 for zone, n in files.items() if zone != "zone=hot")
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == 200_000
+
+
+def _folders(target):
+    return sorted(str(p.relative_to(target / "data")) for p in (target / "data").glob("*/_folder=*"))
+
+
+def test_many_batches_leave_few_folders(spark, tmp_path):
+    """One batch a file; zones with odd names; only crowded zones are rewritten."""
+    source, target, marks = (tmp_path / n for n in ("in", "out", "marks"))
+    source.mkdir()
+    zones = ["IT", "a/b c", "Å=", ""]
+    want = []
+    for i in range(9):
+        lines = [(zones[0], i)] * 3 + [(zones[1], i)] * (i % 2) + [(zones[2], i)] * (i == 4) + [("", i)] * (i in (1, 2, 3, 5))
+        (source / f"{i:03}.csv").write_text("Zone,v\n" + "".join(f"{z},{v}\n" for z, v in lines), encoding="utf-8")
+        want += [(z or None, str(v)) for z, v in lines]
+    calls = []
+    land_csv(
+        spark, str(source), str(target), str(marks), ["Zone", "v"], partition_by="Zone", max_files=1, files_per_zone=1, merge_above=2,
+        also=lambda batch, number: calls.append((number, batch.count())),
+    ).awaitTermination()
+    assert rows(landed(spark, str(target))) == sorted(want, key=lambda t: [(v is not None, v) for v in t])
+    assert [number for number, _ in calls] == list(range(9)) and sorted(n for _, n in calls) == sorted([3, 5, 4, 5, 5, 5, 3, 4, 3])
+    live = [e for e in landing._manifest(spark, str(target)) if e["live"]]
+    per_level = {}
+    for e in live:
+        per_level[e["zone"], e["level"]] = per_level.get((e["zone"], e["level"]), 0) + 1
+    assert max(per_level.values()) <= 2 and len(live) < 12
+    # on disk there is what counts, and what the last batch let go
+    assert len(_folders(target)) == len(landing._manifest(spark, str(target)))
+    with pytest.raises(ValueError, match="merge_above"):
+        land_csv(spark, str(source), str(target), str(marks), ["Zone", "v"], merge_above=3)
+
+
+def test_forty_batches_stay_bounded_and_a_broken_one_repeats(spark, tmp_path, monkeypatch):
+    target = tmp_path / "out"
+    write = landing._write_folder
+
+    def batch(i):
+        return spark.createDataFrame([("Z", i), ("Z", -i), (f"z{i % 3}", i)], "zone string, v int").coalesce(1)
+
+    for i in range(40):
+        if i in (7, 20):  # fails once: after its rows are written, and while folders are merged
+            def broken(records, path, folder, *rest, last=i):
+                write(records, path, folder, *rest)
+                if i == 7 or not folder.endswith("-0"):
+                    raise OSError("executor lost")
+
+            monkeypatch.setattr(landing, "_write_folder", broken)
+            try:
+                landing._land_batch(batch(i), i, str(target), "zone", 1, 3)
+            except OSError:
+                assert i == 7 or landed(spark, str(target)).count() == 3 * i
+            monkeypatch.setattr(landing, "_write_folder", write)
+        landing._land_batch(batch(i), i, str(target), "zone", 1, 3)
+    want = [("Z", v) for i in range(40) for v in (i, -i)] + [(f"z{i % 3}", i) for i in range(40)]
+    assert rows(landed(spark, str(target))) == sorted(want)
+    levels = {e["level"] for e in landing._manifest(spark, str(target))}
+    assert len([f for f in _folders(target) if f.startswith("_zone=z5A/")]) <= 3 * (max(levels) + 1) + 4
+
+
+def test_rejected_records_keep_their_reason(spark, tmp_path):
+    raw = spark.createDataFrame([("1", "x"), ("n/a", "y"), (None, "z"), ("-3", "w"), ("5", None)], "`v (x)` string, k string")
+    rules = {"not a number": "try_cast(v__x_ as int) is not null", "negative": "try_cast(v__x_ as int) >= 0", "no key": "k <> ''"}
+    counts = split_records(raw, str(tmp_path / "out"), rules=rules, select={"v": "try_cast(v__x_ as int)", "k": "upper(k)"})
+    assert counts == {"kept": 1, "not a number": 2, "negative": 1, "no key": 1}
+    assert rows(kept_records(spark, str(tmp_path / "out"))) == [(1, "X")]
+    assert rows(rejected_records(spark, str(tmp_path / "out"))) == [
+        (None, "z", "not a number"), ("-3", "w", "negative"), ("5", None, "no key"), ("n/a", "y", "not a number"),
+    ]
+    assert split_records(raw.limit(0), str(tmp_path / "none"), rules=rules) == {"kept": 0, "not a number": 0, "negative": 0, "no key": 0}
+
+
+def test_the_latest_record_wins_as_a_whole(spark):
+    a = spark.createDataFrame([("Z", 1, 1, 1.0, "a"), ("Z", 2, 5, 2.0, "b"), ("Z", 3, None, 3.0, "c"), (None, 1, 1, 4.0, "d")], "zone string, t int, v long, x double, s string")
+    b = spark.createDataFrame([("Z", 1, 1, None), ("Z", 2, 4, 9.0), ("Z", 3, -(2**52), None), (None, 1, 2**52, None)], "zone string, t int, v long, x double")
+    assert rows(merge_latest([a, b], ["zone", "t"], version="v")) == [
+        (None, 1, 2**52, None, None), ("Z", 1, 1, None, None), ("Z", 2, 5, 2.0, "b"), ("Z", 3, -(2**52), None, None),
+    ]
+    assert [r["x"] for r in merge_latest([a, b], ["zone", "t"]).where("zone = 'Z'").orderBy("t").collect()] == [None, 9.0, None]
+    same = spark.createDataFrame([("Z", 1, 1, 7.0), ("Z", 1, 1, 8.0)], "zone string, t int, v long, x double")
+    first = rows(merge_latest([same], ["zone", "t"], version="v"))
+    assert first == rows(merge_latest([same.orderBy(F.desc("x"))], ["zone", "t"], version="v")) and len(first) == 1
+    numbers = merge_latest([a.drop("s"), b], ["zone", "t"], version="v")
+    plan = numbers._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan

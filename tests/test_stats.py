@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 
 from metricspark import SeriesSpec
 from metricspark.operators import (
+    distinct_sketches,
+    merged_distinct,
+    merged_stats,
+    period_states,
+    quantile_sketches,
+    sketch_quantiles,
     distinct_points,
     diurnal_profile,
     period_stats,
@@ -289,3 +295,35 @@ def test_ranking_keeps_the_metrics_types(spark):
             got = sorted((r["rank"], r["month"]) for r in found if r["label"] == f"{direction}_{metric}")
             assert [m for _, m in got] == want, (metric, direction)
     assert [r["a"] for r in found if r["label"] == "lowest_a" and r["rank"] == 2] == [top]
+
+
+def test_states_of_batches_give_the_stats_of_all(spark, readings):
+    series = series_of(readings.withColumn("zone", F.lit("Z")), SeriesSpec(time_col="time", zone_col="zone", metrics={"c": "c", "f": "f"}, time_format="yyyy-MM-dd HH:mm:ss"))
+    whole = period_stats(series, ["year", "month"])
+    parts = [period_states(series.where(F.col("c") < 150), ["year", "month"]), period_states(series.where("c >= 150 or c is null"), ["year", "month"])]
+    states = parts[0].unionByName(parts[1])
+    assert rows(merged_stats(states, ["zone", "year", "month"])) == rows(whole)
+    assert rows(merged_stats(states, ["zone", "year"])) == rows(period_stats(series, ["year"]))
+    assert merged_stats(states.limit(0), ["zone"]).count() == 0
+
+
+def test_sketches_answer_within_their_error(spark):
+    """Ranks of KLL quantiles and HLL counts, merged over days and a zone of most rows."""
+    frame = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 10 < 8, "hot").otherwise("cold").alias("zone"), (F.col("id") % 30).alias("day"),
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 7).alias("v"), (F.col("id") % 20_011).alias("u"),
+    )
+    stored = quantile_sketches(frame, ["zone", "day"], "v", k=800)
+    for r in sketch_quantiles(stored, ["zone"], probs=[0.01, 0.5, 0.99]).collect():
+        own = frame.where(F.col("zone") == r["zone"])
+        assert r["n_rows"] == own.count()
+        for p, name in ((0.01, "p1"), (0.5, "p50"), (0.99, "p99")):
+            assert own.where(F.col("v") <= r[name]).count() / r["n_rows"] == pytest.approx(p, abs=0.012)
+    exact = distinct_points(frame, ["u"]).first()[0]
+    assert distinct_points(frame, ["u"], approx=True).first()[0] == pytest.approx(exact, rel=0.05)
+    merged = merged_distinct(distinct_sketches(frame, ["u"], ["zone", "day"]), ["zone"])
+    for r in merged.collect():
+        assert r["n_distinct"] == pytest.approx(frame.where(F.col("zone") == r["zone"]).select("u").distinct().count(), rel=0.05)
+    odd = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "c"), ("", "c"), (None, None)], "x string, y string")
+    assert distinct_points(odd, ["x", "y"], approx=True).first()[0] == distinct_points(odd, ["x", "y"]).first()[0] == 5
+    assert distinct_points(odd.limit(0), ["x"], approx=True).first()[0] == 0
