@@ -4,12 +4,13 @@ import pytest
 import base64
 import collections
 import hashlib
+import io
 import itertools
 import random
 
 import numpy as np
 
-from metricspark.llm import chunks, jaccard
+from metricspark.llm import chunks, jaccard, topk
 from metricspark.llm.queries import QUERIES
 from metricspark.llm.topk import Best, search_block, top_k
 
@@ -41,18 +42,67 @@ def test_top_k_odd_vectors(spark):
     assert top_k(df.limit(0)).count() == 0
 
 
-def test_search_stops_on_proof_only():
+def opened(ids, values):
+    return np.load(io.BytesIO(topk.pack_index(ids, values)))
+
+
+def best_of(best, q):
+    mine = best.query == q
+    return sorted(zip((-best.score[mine]).tolist(), best.vec[mine].tolist()))
+
+
+@pytest.mark.parametrize("few", [0.02, 0.0])
+def test_search_stops_on_proof_only(monkeypatch, few):
+    """With a proof, later postings stay unread; without one, all are read; results are the same."""
+    monkeypatch.setattr(topk, "FEW", few)
     chance = np.random.default_rng(3)
     values = np.floor(chance.normal(0, 8, (6_000, 64))).astype(np.int64)
+    values[:, 8:] = np.trunc(values[:, 8:] / 8)  # most of the length in a few components
     queries, ids = values[:40], np.arange(6_000)
-    best = Best(40, 20)
-    rescored = search_block(best, np.arange(40), queries, ids, values)
-    assert rescored < 0.4 * 40 * 6_000  # most were proven out unseen
+    best, read, rescored = Best(40, 20), 0, 0
+    for start in range(0, 6_000, 2_000):
+        some = slice(start, start + 2_000)
+        seen, exact = search_block(best, np.arange(40), queries, opened(ids[some], values[some]))
+        read, rescored = read + seen, rescored + exact
+    postings = int((values != 0).sum())
+    assert read < 0.9 * postings if few else read == postings
+    assert rescored < 0.05 * 40 * 6_000
     score = queries @ values.T
     for q in range(40):
-        want = sorted((-int(s), i) for i, s in enumerate(score[q]) if i != q)[:20]
-        mine = best.query == q
-        assert sorted(zip((-best.score[mine]).tolist(), best.vec[mine].tolist())) == want
+        assert best_of(best, q) == sorted((-int(s), i) for i, s in enumerate(score[q]) if i != q)[:20]
+
+
+def test_segments_stand_by_impact_and_hold_every_posting_once():
+    chance = np.random.default_rng(4)
+    values = np.floor(chance.normal(0, 3, (300, 7))).astype(np.int64)
+    block, again, last = opened(np.arange(300), values), np.zeros_like(values), None
+    for level in range(int(block["levels"])):
+        postings = block[f"postings{level}"]
+        for dimension, value, a, b in block[f"segments{level}"].tolist():
+            assert value and (last is None or abs(value) <= last)
+            last = abs(value)
+            assert not again[postings[a:b], dimension].any()
+            again[postings[a:b], dimension] = value
+        rest = np.sqrt(((values - again).astype(float) ** 2).sum(1))
+        assert (block[f"rest{level}"] >= rest).all() and block[f"rest{level}"] == pytest.approx(rest)
+    assert (again == values).all()
+
+
+@pytest.mark.parametrize("top", [1, 10**6, 10**9])
+def test_search_with_large_numbers_and_other_widths(top):
+    chance = np.random.default_rng(top)
+    values = chance.integers(-top, top, (150, 5), endpoint=True)
+    for width in (3, 5, 8):
+        queries = chance.integers(-top, top, (4, width), endpoint=True)
+        best = Best(4, 6)
+        search_block(best, np.array([0, 1, 2, 999]), queries, opened(np.arange(150), values))
+        shared = min(width, 5)
+        score = queries[:, :shared] @ values[:, :shared].T
+        for q, own in enumerate((0, 1, 2, 999)):
+            assert best_of(best, q) == sorted((-int(s), i) for i, s in enumerate(score[q]) if i != own)[:6]
+    none = Best(1, 6)
+    search_block(none, np.array([7]), np.zeros((1, 0), np.int64), opened(np.arange(3), np.zeros((3, 0), np.int64)))
+    assert best_of(none, 0) == [(0, 0), (0, 1), (0, 2)]
 
 
 def test_chunks_cover_and_resist_shifts():
