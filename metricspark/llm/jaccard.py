@@ -20,7 +20,8 @@ The exact links between the others come from tiles:
   contracted, and the next pass has only the sets of components that grew. A family of
   thousands of near copies gives as many pairs as its number, not its square. When a pass
   brings no link, all pairs that still lie in different components are tried, in blocks of
-  ``BLOCK`` sets where a tile is larger. A frequent gram's tile is dealt to several tasks by the
+  ``BLOCK`` sets where a tile is larger. Two sets that stand together in a row of tiles are paired in the
+  first of them only. A frequent gram's tile is dealt to several tasks by the
   sets' hashes from the start.
 
 Components come from repeated contraction: every node goes to the neighbour (or itself) of least
@@ -46,6 +47,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from metricspark.llm.common import bound_batches, release_memory
 from metricspark.session import discard, work_path
@@ -279,6 +281,16 @@ def _shared_postings(postings: DataFrame) -> DataFrame:
     return ordered.mapInArrow(scan, "gram long, part int, hash long, size long")
 
 
+def _with_gram_before(shared: DataFrame) -> DataFrame:
+    """Adds ``before``: the shared gram that the set shows just before this one, 0 where there is none.
+
+    Two sets with the same one meet in that gram's tile too, with the same bounds or wider
+    ones, so they need not be paired here again.
+    """
+    shown = Window.partitionBy("hash").orderBy(F.col("size").desc(), "gram")
+    return shared.withColumn("before", F.coalesce(F.lag("gram").over(shown), F.lit(0)))
+
+
 # ---- comparing and verifying ------------------------------------------------
 
 
@@ -367,20 +379,22 @@ def _first_partners(shared: DataFrame, named: DataFrame, turn: int) -> DataFrame
     ``named`` is (hash, label, bits) of the sets that take part. Sets of one size stand in
     another order each ``turn``, so that they meet other partners.
     """
-    met = shared.join(named, "hash").select("gram", F.col("part").alias("low"), F.col("part").alias("high"), "size", "hash", F.lit(0).alias("own"), "label", "bits")
+    met = shared.join(named, "hash").select(
+        "gram", F.col("part").alias("low"), F.col("part").alias("high"), "size", "hash", F.lit(0).alias("own"), "label", "before", "bits"
+    )
     return _compared(met, first_only=True, turn=turn)
 
 
 def _all_pairs(shared: DataFrame, named: DataFrame) -> DataFrame:
     """All pairs of different components, from tiles, that sizes and bitmaps leave open."""
-    rows = shared.join(named.select("hash", "label"), "hash").select("gram", "hash", "size", "label")
+    rows = shared.join(named.select("hash", "label"), "hash").select("gram", "hash", "size", "label", "before")
     tiles = rows.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("least"), F.max("label").alias("most"))
     open_ = tiles.where(F.col("least") < F.col("most")).select("gram", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     met = rows.join(open_, "gram").join(named.select("hash", "bits"), "hash")
     met = met.withColumn("own", F.pmod(F.xxhash64("hash"), F.col("blocks")).cast("int"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select(
-        "gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "size", "hash", "own", "label", "bits"
+        "gram", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "size", "hash", "own", "label", "before", "bits"
     )
     return _compared(met, first_only=False)
 
@@ -392,13 +406,13 @@ def _compared(met: DataFrame, first_only: bool, turn: int = 0) -> DataFrame:
         held: list[pa.RecordBatch] = []
 
         def run(table: pa.Table) -> pa.RecordBatch:
-            gram, low, high, size, hash_, own, label = (np.asarray(table.column(i)).astype(np.int64) for i in range(7))
+            gram, low, high, size, hash_, own, label, before = (np.asarray(table.column(i)).astype(np.int64) for i in range(8))
             begins = np.flatnonzero(np.concatenate(([True], (gram[1:] != gram[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1]))))
             several = np.minimum.reduceat(label, begins) < np.maximum.reduceat(label, begins)
             open_ = np.repeat(several, np.diff(np.append(begins, len(gram))))
             # tiles of one component are done
-            gram, low, high, size, hash_, own, label = (c[open_] for c in (gram, low, high, size, hash_, own, label))
-            bits = table.column(7).filter(pa.array(open_)).to_pylist()
+            gram, low, high, size, hash_, own, label, before = (c[open_] for c in (gram, low, high, size, hash_, own, label, before))
+            bits = table.column(8).filter(pa.array(open_)).to_pylist()
             wide = np.array([len(x) for x in bits], np.int64)
             # at each width the bitmaps of all sets that have so many bits
             maps, w = {}, BITS // 8
@@ -419,15 +433,18 @@ def _compared(met: DataFrame, first_only: bool, turn: int = 0) -> DataFrame:
                 here, there = here[within], there[within]
                 tried = (label[here] != label[there]) & ((low[here] == high[here]) | (own[here] != own[there]))
                 tried &= _open(size[here], size[there])
-                a, b = here[tried], there[tried]
+                fresh = (before[here] != before[there]) | (before[here] == 0)
+                if not first_only:  # a set whose first partner it has met before is done here, so there it counts
+                    tried &= fresh
+                a, b, fresh = here[tried], there[tried], fresh[tried]
                 widest = np.minimum(wide[a], wide[b])
                 for w, held_bits in maps.items():
-                    x, y = a[widest == w], b[widest == w]
+                    x, y, new = a[widest == w], b[widest == w], fresh[widest == w]
                     differing = np.bitwise_count(held_bits[x] ^ held_bits[y]).sum(1, dtype=np.int64)
                     both = n[x] + n[y]
                     left = 7 * (both - differing) >= 6 * both
-                    found_a.append(hash_[x[left]])
-                    found_b.append(hash_[y[left]])
+                    found_a.append(hash_[x[left & new]])
+                    found_b.append(hash_[y[left & new]])
                     if first_only:
                         done[x[left]] = True
                 if first_only:
@@ -514,7 +531,7 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     )
     sets = _stored(sets, "sets")
     maps = _stored(sets.select("hash", "rep", _folded("bits").alias("bits")), "maps")
-    shared = _stored(_shared_postings(_postings(documents, frequent, parts)), "shared")
+    shared = _stored(_with_gram_before(_shared_postings(_postings(documents, frequent, parts))), "shared")
     same = _stored(_same_document(rows, sets), "same")
     labels = _stored(sets.select("rep").union(same.select("u")).distinct().withColumn("label", F.col("rep")), "labels")
     labels, grown = _contracted(labels, same)
