@@ -127,7 +127,7 @@ ORACLE_SQL: dict[str, str] = {
             SELECT doc_id, source,
                    CASE WHEN text IS NULL THEN 0
                         ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
-                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS mix_key
+                   ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS mix_key
             FROM documents),
         totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
         weighed AS (

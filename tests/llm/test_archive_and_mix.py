@@ -167,6 +167,28 @@ def test_mixed_documents_repeat_whole_rows(odd_documents, no_documents):
     assert mixing.mixed_documents(no_documents).count() == 0
 
 
+def test_mix_of_null_and_repeated_ids(spark):
+    """Nine rows in ten without an id; equal rows are split where the budget ends among them."""
+    rows = [(None if i % 10 else i, " ".join(["w"] * (1 + i % 7)) + f" {i % 40}", "ab"[i % 2]) for i in range(400)]
+    rows += [(7, "one two three four", "b")] * 300 + [(8, "x", "c")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    keys = mixing._keyed(docs)
+    assert keys.count() < 702 - 299 and keys.agg({"rows": "sum"}).first()[0] == 701
+    assert keys.where("doc_id is null").select("mix_key").distinct().count() > 100
+    counted = mixing.mix(docs).collect()
+    assert len(counted) == 701
+    want, taken, target = collections.Counter(), collections.Counter(), {}
+    for r in counted:
+        want[r["doc_id"], r["source"], r["size"]] += r["copies"]
+        taken[r["source"]] += r["copies"] * r["size"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 4 for s in target)
+    assert len({r["copies"] for r in counted if r["doc_id"] == 7}) == 2  # some of the equal rows once more
+    assert {r["copies"] for r in counted if r["doc_id"] == 7} == {0, 1}  # the budget ends among the equal rows
+    mixed = mixing.mixed_documents(docs).select("doc_id", "source", mixing.word_count().alias("size")).collect()
+    assert collections.Counter(tuple(r) for r in mixed) == +want
+
+
 # ---- the pipeline -----------------------------------------------------------
 
 
