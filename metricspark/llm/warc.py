@@ -2,14 +2,17 @@
 
 Writing: a task writes its records to ``.warc.gz`` files of bounded size, one gzip
 member per record, whose extra field ``sl`` holds the member's lengths. The files of
-finished tasks are listed in a manifest when the job commits, so what lost or
-repeated attempts leave is never read.
+finished tasks are listed in a manifest of their own when the job commits, so what lost or
+repeated attempts leave is never read, and an append adds to what is there. A folder
+without a manifest, as others write it, is read by its file names.
 
 Reading: the driver plans partitions of whole files by their sizes. Predicates on
 the record type and on header columns are pushed down. A record's headers are read
 first; when the predicates fail, or no payload is asked for, the rest of the member
 is skipped by its length and never inflated. Archives without the extra field, and
-plain ``.warc`` files, are read as well.
+plain ``.warc`` files, are read as well. Digests of any algorithm are read: SHA-1 as bare lower-case
+hexadecimal, others with their name before it. An archive that ends within a record is an error;
+with the option ``cutoff=keep`` what is whole before that is read, and a payload as far as it goes.
 
 Pages: of records with equal payloads of at least ``LEAST_BYTES`` bytes, the one with
 the largest page id is a response and the others revisit it.
@@ -33,6 +36,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -55,6 +59,10 @@ SCHEMA = (
     "record_id string, record_type string, target_uri string, warc_date string, content_type string, "
     "payload_digest string, payload_length long, refers_to string, headers map<string,string>, payload binary"
 )
+ARROW = pa.schema(
+    [(c, pa.string()) for c in ("record_id", "record_type", "target_uri", "warc_date", "content_type", "payload_digest")]
+    + [("payload_length", pa.int64()), ("refers_to", pa.string()), ("headers", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())]
+)
 # What a writer takes; the digest is lower-case hexadecimal SHA-1.
 WRITE_COLUMNS = ("record_id", "record_type", "target_uri", "payload", "payload_digest", "payload_length", "refers_to")
 # Fixed values of the format.
@@ -64,7 +72,10 @@ FILE_BYTES = 64 << 20
 SPLIT_BYTES = 32 << 20
 LEAST_BYTES = 1000
 HEAD_BYTES = 2048
-MANIFEST = "_files.json"
+MANIFEST = "_files"
+BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+# Bytes of each algorithm's digest.
+DIGEST_BYTES = {"md5": 16, "sha1": 20, "sha256": 32, "sha384": 48, "sha512": 64}
 
 
 # ---- records ----------------------------------------------------------------
@@ -177,26 +188,62 @@ class _Member:
                 self._more()
 
 
-def read_records(file: io.BufferedReader, wanted: Callable[[dict], bool], payload: bool) -> Iterator[dict]:
+class CutOffError(ValueError):
+    """An archive ends within a record."""
+
+
+def read_digest(said: str | None) -> str | None:
+    """Hexadecimal of a digest header, base 32 or 16; other algorithms than SHA-1 stay named."""
+    if not said:
+        return None
+    algorithm, found, value = said.strip().partition(":")
+    algorithm, value = (algorithm.lower(), value) if found else ("sha1", algorithm)
+    size = DIGEST_BYTES.get(algorithm)
+    if size and re.fullmatch(rf"[0-9a-fA-F]{{{2 * size}}}", value):
+        value = value.lower()
+    elif size:
+        try:
+            raw = base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+            value = raw.hex() if len(raw) == size else value
+        except ValueError:  # some other form, kept as it is
+            pass
+    return value if algorithm == "sha1" else f"{algorithm}:{value}"
+
+
+def read_records(
+    file: io.BufferedReader, wanted: Callable[[dict], bool], payload: bool, keep_cut: bool = False, all_headers: bool = True
+) -> Iterator[dict]:
+    """Records whose columns are ``wanted``; nothing is inflated beyond what is asked for."""
+    size_of_file = file.seek(0, io.SEEK_END)
+    file.seek(0)
+
+    def cut(record: _Member) -> None:
+        if not keep_cut:
+            raise CutOffError(f"the archive ends within the record at byte {record.start}")
+
     while file.peek(1):
         record = _Member(file)
-        end = record.until(b"\r\n\r\n")
+        try:
+            end = record.until(b"\r\n\r\n")
+        except zlib.error:
+            end = -1
         if end < 0:
+            if record.packed or record.text.strip():  # blank lines may end a plain file
+                cut(record)
             return
         lines = record.text[:end].decode(errors="replace").split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:] if ": " in line)
         size = int(headers.get("Content-Length", 0))
-        digest = headers.get("WARC-Payload-Digest", "").rpartition(":")[2]
         row = {
             "record_id": headers.get("WARC-Record-ID"),
             "record_type": headers.get("WARC-Type"),
             "target_uri": headers.get("WARC-Target-URI"),
             "warc_date": headers.get("WARC-Date"),
             "content_type": headers.get("Content-Type"),
-            "payload_digest": base64.b32decode(digest).hex() if digest else None,
+            "payload_digest": read_digest(headers.get("WARC-Payload-Digest")),
             "payload_length": None,
             "refers_to": headers.get("WARC-Refers-To"),
-            "headers": headers,
+            "headers": headers if all_headers else None,
             "payload": None,
         }
         if wanted(row):
@@ -206,10 +253,16 @@ def read_records(file: io.BufferedReader, wanted: Callable[[dict], bool], payloa
                 said = re.search(rb"(?i)\r\ncontent-length: *(\d+)", record.text[end : end + http])
                 row["payload_length"] = int(said[1]) if said else None
             if payload and row["record_type"] != "revisit":
-                row["payload"] = record.bytes(end, size)[http:]
+                block = record.bytes(end, size)
+                if len(block) < size:
+                    cut(record)
+                row["payload"] = block[http:]
             if row["payload_length"] is None:
                 row["payload_length"] = size - http
             yield row
+        if not record.packed and record.start + end + size > size_of_file or record.packed and (record.end or 0) > size_of_file:
+            cut(record)
+            return
         record.close(end, size)
 
 
@@ -231,6 +284,8 @@ class WarcReader(DataSourceReader):
         self.folder = options["path"]
         self.split = int(options.get("splitbytes", SPLIT_BYTES))
         self.payload = str(options.get("payload", "true")).lower() == "true"
+        self.headers = str(options.get("headers", "true")).lower() == "true"
+        self.keep_cut = str(options.get("cutoff", "error")).lower() == "keep"
         self.tests: list[tuple[str, str, object]] = []
 
     def pushFilters(self, filters):
@@ -246,8 +301,13 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         """Whole files, small ones together; the driver sees names and sizes only."""
         files, root = open_folder(self.folder)
-        with files.open_input_stream(f"{root}/{MANIFEST}") as listed:
-            names = json.loads(listed.read())
+        found = files.get_file_info(pafs.FileSelector(root, recursive=False))
+        names = []
+        for info in sorted((i for i in found if i.base_name.startswith(MANIFEST)), key=lambda i: i.base_name):
+            with files.open_input_stream(info.path) as listed:
+                names += json.loads(listed.read())
+        if not any(i.base_name.startswith(MANIFEST) for i in found):
+            names = sorted((i.base_name, i.size) for i in found if re.search(r"\.warc(\.gz)?$", i.base_name))
         groups, size = [[]], 0
         for name, length in names:
             if size and size + length > self.split:
@@ -272,13 +332,20 @@ class WarcReader(DataSourceReader):
         files, _ = open_folder(self.folder)
         for path in partition.paths:
             with files.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 18) as file:
-                for row in read_records(file, self._wanted, self.payload):
-                    yield tuple(row.values())
+                held, size = [], 0
+                for row in read_records(file, self._wanted, self.payload, self.keep_cut, self.headers):
+                    held.append(row)
+                    size += len(row["payload"] or b"")
+                    if len(held) >= BATCH_ROWS or size >= BATCH_BYTES:
+                        yield pa.RecordBatch.from_pylist(held, schema=ARROW)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_pylist(held, schema=ARROW)
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
-        self.folder = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.folder, self.overwrite = options["path"], overwrite
         self.date = options.get("date", "1970-01-01T00:00:00Z")
         self.most = int(options.get("filebytes", FILE_BYTES))
 
@@ -310,15 +377,20 @@ class WarcWriter(DataSourceArrowWriter):
         files, root = open_folder(self.folder)
         files.create_dir(root, recursive=True)
         names = [file for m in messages if m for file in m.paths]
-        with files.open_output_stream(f"{root}/{MANIFEST}") as out:
+        before = files.get_file_info(pafs.FileSelector(root, recursive=False))
+        with files.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps(names).encode())
+        if self.overwrite:
+            for info in before:
+                if info.base_name.startswith(MANIFEST):
+                    files.delete_file(info.path)
 
     def abort(self, messages):
         """Files without a manifest entry are never read; nothing to undo."""
 
 
 class WarcDataSource(DataSource):
-    """``format("warc")``: options path, payload, splitBytes; date and fileBytes to write."""
+    """``format("warc")``: options path, payload, headers, cutoff, splitBytes; date and fileBytes to write."""
 
     @classmethod
     def name(cls) -> str:
@@ -331,7 +403,7 @@ class WarcDataSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -386,9 +458,11 @@ def write_warc(records: DataFrame, folder: str) -> None:
     records.select(*WRITE_COLUMNS).write.format("warc").option("path", folder).mode("append").save()
 
 
-def read_warc(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, folder: str, payload: bool = True, headers: bool = True, keep_cut: bool = False) -> DataFrame:
+    """The records of a folder; ``headers`` is the map of all of them, null where it is not asked for."""
     register(spark)
-    return spark.read.format("warc").option("path", folder).option("payload", str(payload).lower()).load()
+    reader = spark.read.format("warc").option("path", folder).option("cutoff", "keep" if keep_cut else "error")
+    return reader.option("payload", str(payload).lower()).option("headers", str(headers).lower()).load()
 
 
 def warc_result(pages: DataFrame) -> DataFrame:
@@ -397,8 +471,8 @@ def warc_result(pages: DataFrame) -> DataFrame:
     folder = work_path(spark, "warc")
     write_warc(page_records(pages), folder)
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, '<urn:page:(.*)>', 1) as bigint)")
-    responses = read_warc(spark, folder).where(F.col("record_type") == "response")
-    revisits = read_warc(spark, folder, payload=False).where(F.col("record_type") == "revisit")
+    responses = read_warc(spark, folder, headers=False).where(F.col("record_type") == "response")
+    revisits = read_warc(spark, folder, payload=False, headers=False).where(F.col("record_type") == "revisit")
     return responses.select(
         page("record_id").alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
