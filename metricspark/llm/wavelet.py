@@ -22,6 +22,7 @@ an empty table gives no files and no rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import io
 import json
 import struct
@@ -29,7 +30,7 @@ import sys
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,13 +40,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from metricspark.llm.common import Memo, PieceEncoder, bound_batches, tokenizer_path
+from metricspark.llm.common import Memo, PieceEncoder, bound_batches, release_memory, tokenizer_path
 from metricspark.session import work_path
 
 MAGIC = b"WMX1"
 END_ID = 2
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
+SUB_WORDS = 8  # 64-bit words between two counts
 REMEMBERED = 400_000  # pieces of a generation
 GROUP_ROWS, GROUP_BYTES = 8_000, 32 << 20  # of texts encoded together
 
@@ -64,7 +66,9 @@ def build_shard(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
     body, planes, at = io.BytesIO(), [], 0
     row = ids.astype(np.uint16 if bits <= 16 else np.uint32)
     for shift in range(bits - 1, -1, -1):
-        ones = ((row >> shift) & 1).astype(bool)
+        if shift == 7:  # the bits above are written
+            row = row.astype(np.uint8)
+        ones = (row & row.dtype.type(1 << shift)) != 0
         packed = np.packbits(ones, bitorder="little").tobytes()
         offsets, ranks, seen = [], [], 0
         for start in range(0, len(packed), BLOCK_BITS // 8):
@@ -74,7 +78,8 @@ def build_shard(ids: np.ndarray, doc_ids: list, lengths: np.ndarray) -> bytes:
             seen += int(np.bitwise_count(np.frombuffer(block, np.uint8)).sum(dtype=np.int64))
             at += body.write(squeeze.compress(block))
         planes.append({"zeros": len(row) - seen, "offsets": [*offsets, at], "ranks": ranks})
-        row = np.concatenate([row[~ones], row[ones]])
+        if shift:
+            row = np.concatenate([row.take(np.flatnonzero(~ones)), row.take(np.flatnonzero(ones))])
     known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
     docs = b"".join(
         (known.tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), lengths.astype("<i8").tobytes())
@@ -105,30 +110,45 @@ class WaveletFile:
         self.file.seek(self.base + start)
         return zstandard.ZstdDecompressor().decompress(self.file.read(size))
 
-    def _load(self, key: tuple[int, int]) -> np.ndarray:
+    def _load(self, key: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """A block's 64-bit words, and the set bits before every ``SUB_WORDS`` of them."""
         level, block = key
         offsets = self.planes[level]["offsets"]
         raw = self._read(offsets[block], offsets[block + 1] - offsets[block])
-        return np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little")
+        words = np.frombuffer(raw + bytes(-len(raw) % 8), "<u8")
+        counts = np.bitwise_count(words).astype(np.int64)
+        return words, np.concatenate(([0], np.cumsum(np.add.reduceat(counts, np.arange(0, len(words), SUB_WORDS)))))
 
     def _bit(self, level: int, i: int) -> int:
-        return int(self.blocks[level, i // BLOCK_BITS][i % BLOCK_BITS])
+        block, rest = divmod(i, BLOCK_BITS)
+        return int(self.blocks[level, block][0][rest >> 6]) >> (rest & 63) & 1
 
     def _rank1(self, level: int, i: int) -> int:
-        """Set bits before position ``i`` of a plane."""
+        """Set bits before position ``i`` of a plane: sums by block and sub-block, then at most ``SUB_WORDS`` words."""
         if i >= self.n:
             return self.n - self.planes[level]["zeros"]
         block, rest = divmod(i, BLOCK_BITS)
         before = self.planes[level]["ranks"][block]
-        return before + (int(self.blocks[level, block][:rest].sum(dtype=np.int64)) if rest else 0)
+        if not rest:
+            return before
+        words, counts = self.blocks[level, block]
+        word, bits = divmod(rest, 64)
+        sub = word // SUB_WORDS
+        full = int(np.bitwise_count(words[sub * SUB_WORDS : word]).sum(dtype=np.int64))
+        return before + int(counts[sub]) + full + (int(words[word]) & (1 << bits) - 1).bit_count()
 
     def _select(self, level: int, bit: int, k: int) -> int:
         """Position of the ``k``-th (from 0) bit of that value in a plane."""
         ranks = self.planes[level]["ranks"]
-        counts = ranks if bit else [b * BLOCK_BITS - r for b, r in enumerate(ranks)]
-        block = int(np.searchsorted(counts, k, side="right")) - 1
-        places = np.flatnonzero(self.blocks[level, block] == bit)
-        return block * BLOCK_BITS + int(places[k - counts[block]])
+        block = bisect.bisect_right(range(len(ranks)), k, key=lambda b: ranks[b] if bit else b * BLOCK_BITS - ranks[b]) - 1
+        k -= ranks[block] if bit else block * BLOCK_BITS - ranks[block]
+        words, counts = self.blocks[level, block]
+        sub = bisect.bisect_right(range(len(counts)), k, key=lambda s: int(counts[s]) if bit else s * SUB_WORDS * 64 - int(counts[s])) - 1
+        sub = min(sub, len(counts) - 2)
+        k -= int(counts[sub]) if bit else sub * SUB_WORDS * 64 - int(counts[sub])
+        raw = words[sub * SUB_WORDS : (sub + 1) * SUB_WORDS].tobytes()
+        places = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little") == bit)
+        return block * BLOCK_BITS + sub * SUB_WORDS * 64 + int(places[k])
 
     def access(self, i: int) -> int:
         """The id at position ``i``."""
@@ -178,21 +198,23 @@ class WaveletFile:
 
     def read_all(self) -> np.ndarray:
         """All ids in order, from the lowest plane up."""
-        row = np.zeros(self.n, np.uint16 if self.bits <= 16 else np.uint32)
+        row = np.zeros(self.n, np.uint8)
         for level in range(self.bits - 1, -1, -1):
+            shift = self.bits - 1 - level
+            if shift in (8, 16):  # the next bits need wider numbers
+                row = row.astype(np.uint16 if shift == 8 else np.uint32)
             offsets = self.planes[level]["offsets"]
             self.file.seek(self.base + offsets[0])
             raw, unpack = self.file.read(offsets[-1] - offsets[0]), zstandard.ZstdDecompressor()
             packed = b"".join(
                 unpack.decompress(raw[a - offsets[0] : b - offsets[0]]) for a, b in zip(offsets, offsets[1:])
             )
-            bit = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little")
-            ones = bit.astype(bool)
+            ones = np.unpackbits(np.frombuffer(packed, np.uint8), count=self.n, bitorder="little").view(bool)
             zeros = self.planes[level]["zeros"]
             up = np.empty_like(row)
-            up[~ones] = row[:zeros]
-            up[ones] = row[zeros:]
-            row = up | (bit.astype(row.dtype) << (self.bits - 1 - level))
+            up[np.flatnonzero(~ones)] = row[:zeros]
+            up[np.flatnonzero(ones)] = row[zeros:] | row.dtype.type(1 << shift)
+            row = up
         return row
 
 
@@ -295,6 +317,7 @@ def write_shards(documents: DataFrame, folder: str, path: str | None = None, end
                     yield close()
         if doc_ids:
             yield close()
+        release_memory()
 
     narrow = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
@@ -335,6 +358,50 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     return based.select("path", "base").repartition(tasks, "path").mapInArrow(read, PER_DOCUMENT)
 
 
+def _dealt_shards(spark: SparkSession, folder: str) -> DataFrame:
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("path").repartition(tasks, "path")
+
+
+def token_counts(spark: SparkSession, folder: str, tokens: Sequence[int]) -> DataFrame:
+    """(token, n): how often each id occurs in all shards, from a few blocks of every plane."""
+    wanted = sorted(set(tokens))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for place in batch.column(0).to_pylist():
+                files, name = open_folder(place)
+                with files.open_input_file(name) as file:
+                    shard = WaveletFile(file)
+                    found = [shard.count(t) for t in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(found, pa.int64())], names=["token", "n"])
+
+    asked = spark.createDataFrame([(t,) for t in wanted], "token long")
+    counted = _dealt_shards(spark, folder).mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    return asked.join(counted, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def token_places(spark: SparkSession, folder: str, token: int) -> DataFrame:
+    """(doc_id, place): every occurrence of an id, by its place among the document's ids."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                files, name = open_folder(path)
+                with files.open_input_file(name) as file:
+                    shard = WaveletFile(file)
+                    doc_ids, lengths = shard.documents()
+                    ends, n = np.cumsum(lengths), shard.count(token)
+                    for start in range(0, n, 10_000):
+                        at = np.array([shard.occurrence(token, k) for k in range(start, min(n, start + 10_000))], np.int64)
+                        doc = np.searchsorted(ends, at, side="right")
+                        places = at - (ends[doc] - lengths[doc])
+                        ids = pa.array(doc_ids, pa.int64()).take(pa.array(doc))
+                        yield pa.RecordBatch.from_arrays([ids, pa.array(places)], names=["doc_id", "place"])
+
+    return _dealt_shards(spark, folder).mapInArrow(find, "doc_id long, place long")
+
+
 def wavelet_result(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     folder = work_path(spark, "wavelet")

@@ -109,3 +109,37 @@ def test_wavelet_file_against_brute_force(top):
 def test_empty_shard():
     file = WaveletFile(io.BytesIO(build_shard(np.zeros(0, np.uint16), [], np.zeros(0, np.int64))))
     assert len(file.read_all()) == 0 and file.count(3) == 0
+
+
+def test_tokens_are_counted_and_found_over_several_shards(spark, odd_documents, tokenizer):
+    from metricspark.llm.wavelet import token_counts, token_places, write_shards
+    from metricspark.session import work_path
+
+    folder = work_path(spark, "lookup")
+    manifest = write_shards(odd_documents.repartition(3), folder, shard_tokens=50)
+    assert manifest.count() > 2
+    rows = [(r["doc_id"], [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 2]) for r in odd_documents.collect()]
+    every = [t for _, ids in rows for t in ids]
+    wanted = [2, 49407, every[0], every[-2], 17, 40_000, 70_000]
+    got = {r["token"]: r["n"] for r in token_counts(spark, folder, wanted).collect()}
+    assert got == {t: every.count(t) for t in wanted}
+    for token in (2, every[0], 70_000):
+        want = sorted(((str(d), i) for d, ids in rows for i, t in enumerate(ids) if t == token))
+        assert sorted((str(r["doc_id"]), r["place"]) for r in token_places(spark, folder, token).collect()) == want
+
+
+@pytest.mark.parametrize("top", [1, 200, 300, 65_535, 70_000])
+def test_rank_and_select_across_blocks(top):
+    chance = np.random.default_rng(top)
+    ids = chance.integers(0, top, 150_000, endpoint=True).astype("<u4")
+    ids[1_000:90_000] = top
+    file = WaveletFile(io.BytesIO(build_shard(ids, [1], np.array([len(ids)]))))
+    assert (file.read_all() == ids).all()
+    for i in (0, 63, 64, 65_535, 65_536, 131_073, 149_999):
+        assert file.access(i) == ids[i]
+    for token in (0, top, top // 2):
+        places = np.flatnonzero(ids == token)
+        assert file.count(token) == len(places)
+        assert file.count(token, 500, 70_001) == int(((places >= 500) & (places < 70_001)).sum())
+        for k in {0, len(places) // 2, len(places) - 1} if len(places) else ():
+            assert file.occurrence(token, k) == places[k]
