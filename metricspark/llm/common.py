@@ -45,6 +45,11 @@ def hash_sample(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
     return df.where(F.pmod(key, F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(key).limit(rows)
 
 
+def bounded_rows(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows, one for each ``keys``: what may go to the driver however often ids repeat."""
+    return df.dropDuplicates(keys).orderBy(*keys).limit(rows)
+
+
 class Memo(dict):
     """A dict that computes what is missing; emptied when it holds ``limit`` entries.
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import crc_bucket, hash_sample, replace_columns
+from metricspark.llm.common import bounded_rows, crc_bucket, hash_sample, replace_columns
 
 SAMPLE_ROWS = 6_000
 WORD_BUCKETS = 1 << 16
@@ -187,7 +187,7 @@ def sample_labelled(documents: DataFrame, labels: DataFrame, label: str, rows: i
     """doc_id, text and ``label`` of the ``rows`` labelled documents of least hash."""
     known = labels.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("_label"))
     picked = hash_sample(known, F.xxhash64("doc_id", "_label"), rows, known.count() // 2)
-    # at most ``rows`` rows of two numbers: a proven bound
+    # at most ``rows`` rows of two numbers: a proven bound; the join may have more, where ids repeat
     return documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
@@ -203,8 +203,9 @@ def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality",
         )
 
     sample = sample_labelled(documents, labels, label, rows)
-    got = sample.select("doc_id", "_label", featurize(_text("text")).alias("f")).collect()
-    got.sort(key=lambda r: (r["doc_id"], r["_label"]))
+    found = sample.select("doc_id", "_label", F.xxhash64("text").alias("_hash"), featurize(_text("text")).alias("f"))
+    got = bounded_rows(found, ["doc_id", "_label", "_hash"], rows).collect()
+    got.sort(key=lambda r: (r["doc_id"], r["_label"], r["_hash"]))
     model = FactorisationMachine()
     if got:
         pairs = [(np.frombuffer(r["f"]["index"], np.int32), np.frombuffer(r["f"]["value"], np.float32)) for r in got]

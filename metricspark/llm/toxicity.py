@@ -9,10 +9,13 @@ look toxic.
 The field has two states over the words of a sentence, with weights for the word, its
 beginnings and ending and its neighbours, and for the transitions; AdaGrad fits it by
 forward-backward marginals on the driver. Scoring runs forward-backward over every
-sentence of every whole text (sentences of more than ``CHAIN`` words go on in a new
-chain), all sentences of a batch in step. A document's score comes from the expected
+sentence of every whole text, all sentences of a batch in step; a long sentence is one chain,
+whose segments of ``SEGMENT`` words are first summed up as 2 x 2 matrices. A document's score comes from the expected
 number of toxic words and the surest of them by a logistic function fitted on the
-sampled documents; spans are the runs of words with a marginal of at least a half.
+whole texts of the sampled documents, of which Spark sends two numbers each; spans are the runs of words with a marginal of at least a half.
+
+Bounds, for the fit of the token weights only: ``SAMPLE_ROWS`` documents of each label, and of a sampled
+text the ``CHAINS_PER_ROW`` sentences of least hash.
 
 Defined cases: null and empty texts hold one blank token and get the score of a text
 without toxic words; without labels of both kinds every score is 0; texts of any
@@ -29,15 +32,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from metricspark.llm.common import Memo, crc_bucket, hash_sample, replace_columns
+from metricspark.llm.common import Memo, bound_batches, bounded_rows, crc_bucket, hash_sample, replace_columns
 
 SAMPLE_ROWS = 2_500  # of each label
 CHAINS_PER_ROW = 40
-CHAIN = 64
+SEGMENT = 64
 BUCKETS = 1 << 18
 LEAST_SENTENCES = 4
 LEAST_PURITY = 0.97
@@ -84,13 +87,11 @@ def own_features(word: str) -> list[int]:
 
 
 def chain_starts(ends: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Where chains begin: after an ending word, at a document's first, every ``CHAIN`` words."""
+    """Where chains begin: after an ending word, and at a document's first."""
     starts = np.zeros(len(ends), bool)
     starts[1:] = ends[:-1]
     starts[first] = True
-    at = np.flatnonzero(starts)
-    since = np.arange(len(ends)) - np.repeat(at, np.diff([*at, len(ends)]))
-    return np.flatnonzero(since % CHAIN == 0)
+    return np.flatnonzero(starts)
 
 
 # ---- the field --------------------------------------------------------------
@@ -110,29 +111,85 @@ class LinearChain:
 
     def messages(self, emission: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ratios of state 1 to state 0: forward with the emission, and backward."""
-        lengths = np.diff([*starts, len(emission)])
-        order = np.argsort(-lengths, kind="stable")
-        begin, size = starts[order], lengths[order]
+        n = len(emission)
         phi = np.exp(np.clip(emission, -LIMIT, LIMIT))
         a = np.exp(self.move)
+        lengths = np.diff([*starts, n])
+        pieces = -(-lengths // SEGMENT)
+        index = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = np.repeat(starts, pieces) + SEGMENT * index
+        size = np.minimum(SEGMENT, np.repeat(starts + lengths, pieces) - begin)
+        enter, leave = np.zeros(len(begin)), np.ones(len(begin))
+        if len(begin) > len(starts):
+            self._carry(phi, a, pieces, index, begin, size, enter, leave)
+        order = np.argsort(-size, kind="stable")
+        begin, size, enter, leave, index = (x[order] for x in (begin, size, enter, leave, index))
         forward, backward = np.empty_like(phi), np.ones_like(phi)
         longest = int(size[0]) if len(size) else 0
         active = [int(np.searchsorted(-size, -t, side="left")) for t in range(longest)]
-        ratio = np.zeros(0)
+        ratio = np.where(index == 0, 1.0, (a[0, 1] + a[1, 1] * enter) / (a[0, 0] + a[1, 0] * enter))
         for t in range(longest):
             at = begin[: active[t]] + t
             if t:
                 ratio = ratio[: active[t]]
                 ratio = phi[at] * (a[0, 1] + a[1, 1] * ratio) / (a[0, 0] + a[1, 0] * ratio)
             else:
-                ratio = phi[at]
+                ratio = phi[at] * ratio
             forward[at] = ratio
+        backward[begin + size - 1] = leave
         for t in range(longest - 2, -1, -1):
             at = begin[: active[t + 1]] + t
             ahead = phi[at + 1] * backward[at + 1]
             backward[at] = (a[1, 0] + a[1, 1] * ahead) / (a[0, 0] + a[0, 1] * ahead)
         return forward, backward
 
+    @staticmethod
+    def _carry(phi, a, pieces, index, begin, size, enter, leave) -> None:
+        """The ratios that enter and leave the segments of long chains.
+
+        A segment maps the ratio before it to that at its end, and backwards, by a fraction
+        of two linear terms: a 2 x 2 matrix, made for all segments in step. Then the ratios
+        go from segment to segment.
+        """
+
+        def product(steps) -> np.ndarray:
+            out = np.zeros((2, 2, len(begin)))
+            out[0, 0] = out[1, 1] = 1
+            for some, matrix in steps:
+                out[:, :, some] = np.einsum("ijn,jkn->ikn", matrix, out[:, :, some])
+                out[:, :, some] /= out[:, :, some].max((0, 1))
+            return out
+
+        def onward():
+            for t in range(SEGMENT):
+                some = np.flatnonzero(size > t)
+                here, one = phi[begin[some] + t], np.ones(len(some))
+                matrix = np.array([[a[1, 1] * here, a[0, 1] * here], [a[1, 0] * one, a[0, 0] * one]])
+                if not t:  # the first word of a chain has no ratio before it
+                    first = index[some] == 0
+                    matrix[:, 0, first] = 0
+                    matrix[:, 1, first] = np.array([here[first], one[first]])
+                yield some, matrix
+
+        def back():
+            for t in range(SEGMENT - 2, -1, -1):
+                some = np.flatnonzero(size > t + 1)
+                after, one = phi[begin[some] + t + 1], np.ones(len(some))
+                yield some, np.array([[a[1, 1] * after, a[1, 0] * one], [a[0, 1] * after, a[0, 0] * one]])
+
+        def apply(matrix: np.ndarray, value: np.ndarray) -> np.ndarray:
+            return (matrix[0, 0] * value + matrix[0, 1]) / (matrix[1, 0] * value + matrix[1, 1])
+
+        ahead, behind = product(onward()), product(back())
+        last = np.cumsum(pieces) - 1
+        first = last - pieces + 1
+        for j in range(1, int(pieces.max())):
+            at = first[pieces > j] + j
+            enter[at] = apply(ahead[:, :, at - 1], enter[at - 1])
+            at = last[pieces > j] - j + 1  # from the end, what its first word tells the segment before
+            told = phi[begin[at]] * apply(behind[:, :, at], leave[at])
+            leave[at - 1] = (a[1, 0] + a[1, 1] * told) / (a[0, 0] + a[0, 1] * told)
+
     def fit(self, chains: list[tuple[list[list[int]], list[int], np.ndarray]]) -> None:
         """Chains as (own features, word hash, label) per word."""
         random = np.random.default_rng(5)
@@ -283,10 +340,10 @@ def _text(column: str):
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def sampled_sentences(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(doc_id, label, sentences): up to ``rows`` training documents of each label.
+def sampled_texts(documents: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
+    """(doc_id, _label, _hash, text): up to ``rows`` training documents of each label, those of least hash.
 
-    Rows and, within a long text, sentences are those of least hash.
+    There are more rows where ids repeat; what is collected of them is bounded.
     """
     known = labels.where(F.col(label).isin(0, 1)).select("doc_id", F.col(label).cast("int").alias("_label"))
 
@@ -296,6 +353,11 @@ def sampled_sentences(documents: DataFrame, labels: DataFrame, label: str, rows:
 
     # at most 2 x ``rows`` rows of two numbers: a proven bound
     picked = F.broadcast(pick(0).unionByName(pick(1)))
+    return documents.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "_label", F.xxhash64("text").alias("_hash"), _text("text").alias("text"))
+
+
+def sampled_sentences(sample: DataFrame) -> DataFrame:
+    """Adds ``sentences``: those of a text, up to a bound those of least hash."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def cut(texts: pa.Array) -> pa.Array:
@@ -308,7 +370,7 @@ def sampled_sentences(documents: DataFrame, labels: DataFrame, label: str, rows:
             out.append(sorted(chains, key=lambda c: (zlib.crc32(c.encode(errors="replace")), c))[:CHAINS_PER_ROW])
         return pa.array(out, pa.list_(pa.string()))
 
-    return documents.select("doc_id", "text").join(picked, "doc_id").select("doc_id", "_label", cut(_text("text")).alias("sentences"))
+    return sample.select("doc_id", "_label", "_hash", cut("text").alias("sentences"))
 
 
 def label_tokens(rows: list[tuple[int, list[str]]]) -> list[tuple[list[list[int]], np.ndarray, np.ndarray]]:
@@ -353,42 +415,52 @@ def label_tokens(rows: list[tuple[int, list[str]]]) -> list[tuple[list[list[int]
 
 
 def fit_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> LinearChain:
-    sample = sampled_sentences(documents, labels, label, rows).collect()
-    sample.sort(key=lambda r: (r["doc_id"], r["_label"]))
+    texts = sampled_texts(documents, labels, label, rows)
+    keys = ["doc_id", "_label", "_hash"]
+    sample = bounded_rows(sampled_sentences(texts), keys, 2 * rows).collect()
+    sample.sort(key=lambda r: tuple(r[k] for k in keys))
     field = LinearChain()
     kinds = {r["_label"] for r in sample}
     if len(kinds) < 2:
         return field
     field.fit(label_tokens([(r["_label"], r["sentences"]) for r in sample]))
-    tagger = Tagger(field)
-    stats = [tagger.tag(["\n".join(r["sentences"]).replace(BREAK, "")])[0] for r in sample]
+    measured = texts.select(*keys, _tagged(texts, field, "text")["stats"].alias("stats"))
+    stats = bounded_rows(measured, keys, 2 * rows).select("_label", "stats.*").toPandas()
     share = labels.where(F.col(label).isin(0, 1)).agg(F.avg(F.col(label).cast("double"))).first()[0]
-    field.calibrate(np.concatenate(stats), np.array([float(r["_label"]) for r in sample]), share)
+    field.calibrate(stats[["total", "most"]].to_numpy(), stats["_label"].to_numpy(float), share)
     return field
 
 
-def score_toxicity(documents: DataFrame, field: LinearChain, text: str = "text", out: str = "toxicity") -> DataFrame:
-    """Adds a struct (score, spans); the field is a broadcast of fixed size."""
+_STATS = T.StructType([T.StructField(c, T.DoubleType()) for c in ("total", "most")])
+_SPAN = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
+_TAGGED = T.StructType([T.StructField("stats", _STATS), T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(_SPAN))])
+
+
+def _tagged(documents: DataFrame, field: LinearChain, text: str) -> Column:
+    """A struct (stats, score, spans) of every whole text; the field is a broadcast of fixed size."""
     shared = documents.sparkSession.sparkContext.broadcast(field)
-    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    kind = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
 
-    @F.arrow_udf(kind)
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf(_TAGGED)
+    def tag(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = Tagger(shared.value)
+        place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for texts in batches:
-            scores, spans = [], []
+            measured, spans = [np.zeros((0, 2))], []
             for start in range(0, len(texts), 200):
                 stats, found = tagger.tag(texts.slice(start, 200).to_pylist())
-                scores.append(tagger.field.scores(stats))
+                measured.append(stats)
                 spans += [[{"start": a, "end": b} for a, b in s] for s in found]
-            place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.StructArray.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0), *scores]), pa.float64()), pa.array(spans, place)],
-                names=["score", "spans"],
-            )
+            stats = np.concatenate(measured)
+            numbers = pa.StructArray.from_arrays([pa.array(stats[:, 0]), pa.array(stats[:, 1])], names=["total", "most"])
+            yield pa.StructArray.from_arrays([numbers, pa.array(tagger.field.scores(stats), pa.float64()), pa.array(spans, place)], names=["stats", "score", "spans"])
 
-    return replace_columns(documents, {out: score(_text(text))})
+    return tag(_text(text))
+
+
+def score_toxicity(documents: DataFrame, field: LinearChain, text: str = "text", out: str = "toxicity") -> DataFrame:
+    """Adds a struct (stats, score, spans)."""
+    bound_batches(documents.sparkSession)
+    return replace_columns(documents, {out: _tagged(documents, field, text)})
 
 
 def toxicity_result(documents: DataFrame, labels: DataFrame) -> DataFrame:

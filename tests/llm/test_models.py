@@ -1,6 +1,7 @@
 """Operators 6, 7 and 9: held-out accuracy, brute force for what is exact, odd rows."""
 
 import itertools
+import random
 import re
 
 import numpy as np
@@ -197,3 +198,42 @@ def test_op7_odd_rows(odd_documents, no_documents):
     texts = {r["doc_id"]: r["text"] for r in masked.collect()}
     assert texts[7].startswith("Zoë wrote to [EMAIL], then [IP] <|") and texts[4] is None
     assert pii.pii_result(no_documents).count() == 0
+
+
+@pytest.mark.parametrize("segment", [1, 2, 7, 64])
+def test_long_chains_are_exact_whatever_their_segments(monkeypatch, segment):
+    """Marginals of chains cut in segments are those of the whole chains."""
+    chance = np.random.default_rng(segment)
+    field = toxicity.LinearChain()
+    field.move = chance.normal(0, 1.5, (2, 2))
+    sizes = [1, 2, 7, 8, 64, 65, 200, 1, 513]
+    starts, emission = np.cumsum(sizes) - sizes, chance.normal(0, 4, sum(sizes))
+    monkeypatch.setattr(toxicity, "SEGMENT", 10**6)
+    forward, backward = field.messages(emission, starts)
+    monkeypatch.setattr(toxicity, "SEGMENT", segment)
+    again = field.messages(emission, starts)
+    assert again[0] == pytest.approx(forward, rel=1e-8) and again[1] == pytest.approx(backward, rel=1e-8)
+
+
+def test_a_sentence_of_three_thousand_words_is_one_chain(spark):
+    """Words stay linked across the 64th, and a repeated id sends a bounded number of rows to the driver."""
+    chance = random.Random(9)
+    plain = [f"w{i}" for i in range(300)]
+    rows, known = [], []
+    for i in range(120):
+        words = [chance.choice(plain) for _ in range(3_000 if i == 0 else 40)]
+        if i % 2 == 0:
+            words[62:66] = ["vile", "nasty", "vile", "nasty"] if i == 0 else words[62:66]
+            words[10:14] = ["vile", "nasty", "vile", "nasty"]
+        rows.append((i, " ".join(words)))
+        known.append((i, 1 - i % 2))
+    rows += [(2, rows[2][1])] * 400
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(known, "doc_id long, toxic int")
+    field = toxicity.fit_toxicity(docs, labels)
+    spans = {r["doc_id"]: r["toxicity"]["spans"] for r in toxicity.score_toxicity(docs, field).collect()}
+    text = rows[0][1]
+    found = [text[s["start"] : s["end"]] for s in spans[0]]
+    assert found == ["vile nasty vile nasty"] * 2
+    texts = toxicity.sampled_texts(docs, labels, "toxic", 50)
+    assert toxicity.bounded_rows(toxicity.sampled_sentences(texts), ["doc_id", "_label", "_hash"], 100).count() <= 100
