@@ -4,15 +4,22 @@ The patterns of four kinds (email, ip, card, phone) give the base spans; each is
 matched in time linear in the text. The field reads the words that hold a digit or
 an ``@`` (all others are known to be outside) and labels them with a kind or none. A
 word's potentials come from its shape and its neighbours; neighbouring words share
-transition potentials, and words of one document with equal or similar form (same
-letters and digits) share skip potentials, each linked to the next of its like, so
-that a document's edges grow with its words. Loopy message passing runs over the
-graphs of a whole batch at once and makes labels consistent across a document.
-
-The field learns from the base spans of a bounded sample of distinct texts: what looks
-like a kind but often fails its pattern there is not added. It adds spans
-of words whose marginal for one kind is at least ``SURE``, which look like that kind
-at all and lie outside the base spans; base spans always stay.
+transition potentials, and distant words of one document share skip potentials: words
+of equal form (the same letters and digits, whatever stands between) and words of similar
+form (one character more, less or another, or the same last ``TAIL`` digits). Of a form with many
+mentions each is linked to one hub node, and so are the forms of a group of similar ones,
+so evidence at one mention reaches all others in two steps while a document's edges grow
+with its words. Loopy message passing runs over the graphs of a whole batch at once, until the messages
+settle, and makes labels consistent across a document.
+
+The field learns from the base spans of a bounded sample of distinct texts; a hub has the label of
+most of its members there. It adds spans of words whose marginal for one kind is at least
+``SURE`` and which lie outside the base spans; base spans always stay. What looks like a kind but often
+fails its pattern in the sample is not added.
+
+Bounds, for the fit only: ``SAMPLE_ROWS`` texts, and of a text with more than ``WORDS_PER_ROW``
+such words the runs of ``RUN`` words of least hash; a word's first 200 characters. Forms of over
+``LONG_FORM`` characters are alike when equal, and never similar.
 
 Defined cases: null and empty texts have no spans; texts of any length are read
 whole; repeated rows get equal spans; without any base span in the sample the field
@@ -35,10 +42,12 @@ from metricspark.llm.common import Memo, bound_batches, hash_sample, replace_col
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_ROWS = 3_000
-WORDS_PER_ROW = 200
+WORDS_PER_ROW, RUN = 200, 20
+LONG_FORM, TAIL = 64, 8
 BUCKETS = 1 << 14
 LABELS = len(KINDS) + 1  # 0 is none
-ROUNDS = 8
+NO_FEATURE = BUCKETS  # of hubs
+MOST_ROUNDS, SETTLED = 200, 1e-3
 DAMPING = 0.3
 EPOCHS = 60
 RATE = 0.2
@@ -129,10 +138,44 @@ def words_of(text: str) -> list[tuple[int, int, int]]:
     return [(i, m.start(), m.end()) for i, m in enumerate(_WORD.finditer(text)) if _HOLDS.search(m[0])]
 
 
+def sampled_words(text: str) -> list[tuple[int, int, int]]:
+    """The words to learn from: all, or in a text with very many the runs of least hash, in their order."""
+    words = words_of(text)
+    if len(words) <= WORDS_PER_ROW:
+        return words
+    runs = [words[i : i + RUN] for i in range(0, len(words), RUN)]
+    chosen = sorted(range(len(runs)), key=lambda i: (_hash("r", f"{i}:{text[runs[i][0][1] : runs[i][0][2]][:200]}"), i))[: WORDS_PER_ROW // RUN]
+    return [w for i in sorted(chosen) for w in runs[i]]
+
+
 def likeness_key(word: str) -> str:
     return re.sub(r"[\W_]+", "", word).lower()
 
 
+def similar_forms(keys: list[str]) -> list[list[str]]:
+    """Groups of forms that are similar, one to the next: those that share a form less one character, or a tail of digits."""
+    group = {k: k for k in keys}
+
+    def top(k: str) -> str:
+        while group[k] != k:
+            group[k] = group[group[k]]
+            k = group[k]
+        return k
+
+    holder: dict[str, str] = {}
+    for key in keys:
+        digits = re.sub("[^0-9]+", "", key)
+        blocks = [f"d{digits[-TAIL:]}"] if len(digits) >= TAIL else []
+        if 6 <= len(key) <= LONG_FORM:
+            blocks += [f"v{key}", *(f"v{key[:i]}{key[i + 1 :]}" for i in range(len(key)))]
+        for block in blocks:
+            group[top(key)] = top(holder.setdefault(block, key))
+    found: dict[str, list[str]] = {}
+    for key in keys:
+        found.setdefault(top(key), []).append(key)
+    return [g for g in found.values() if len(g) > 1]
+
+
 class Graph:
     """Nodes and edges of many documents, for message passing in one go."""
 
@@ -140,24 +183,40 @@ class Graph:
         self.features: list[tuple[int, ...]] = []
         self.source: list[int] = []
         self.target: list[int] = []
-        self.kind: list[int] = []  # 0: neighbours, 1: alike
+        self.kind: list[int] = []  # 0: neighbours, 1: alike, 2: similar
+        self.hubs: list[tuple[int, list[int]]] = []  # and what is linked to them
         self.memo = Memo(word_features, 50_000)
         self.beside = Memo(lambda w: _hash("b", coarse(w)), 50_000)
 
-    def add(self, places: list[int], words: list[str]) -> None:
-        first, last_like = len(self.features), {}
+    def add(self, places: list[int], words: list[str]) -> list[int]:
+        """Adds a document; returns the nodes of its words."""
+        first, mentions = len(self.features), {}
         for k, (place, word) in enumerate(zip(places, words)):
-            node = first + k
             before = words[k - 1] if k and places[k - 1] == place - 1 else ""
             after = words[k + 1] if k + 1 < len(words) and places[k + 1] == place + 1 else ""
             self.features.append((*self.memo[word], self.beside[before], (self.beside[after] * 31 + 7) & (BUCKETS - 1)))
             if before:
-                self._edge(node - 1, node, 0)
+                self._edge(first + k - 1, first + k, 0)
             key = likeness_key(word)
             if len(key) >= 4:
-                if key in last_like:
-                    self._edge(last_like[key], node, 1)
-                last_like[key] = node
+                mentions.setdefault(key, []).append(first + k)
+        speaker = {key: self._link(nodes, 1) for key, nodes in mentions.items()}
+        for group in similar_forms(list(mentions)):
+            self._link([speaker[key] for key in group], 2)
+        return list(range(first, first + len(words)))
+
+    def _link(self, nodes: list[int], kind: int) -> int:
+        """Links nodes through a hub, two of them directly; returns the node that speaks for all."""
+        if len(nodes) < 3:
+            if len(nodes) == 2:
+                self._edge(*nodes, kind)
+            return nodes[0]
+        hub = len(self.features)
+        self.features.append((NO_FEATURE,) * 6)
+        self.hubs.append((hub, nodes))
+        for node in nodes:
+            self._edge(node, hub, kind)
+        return hub
 
     def _edge(self, a: int, b: int, kind: int) -> None:
         self.source.append(a)
@@ -171,15 +230,16 @@ class Graph:
 
 class SkipChain:
     def __init__(self):
-        self.node = np.zeros((BUCKETS, LABELS))
+        self.node = np.zeros((BUCKETS + 1, LABELS))
         self.start = np.zeros(LABELS)
-        self.pair = np.zeros((2, LABELS, LABELS))
+        self.pair = np.zeros((3, LABELS, LABELS))
         self.fitted = False
 
     def beliefs(self, graph: Graph):
         """Marginals of the nodes, and of the edges, by damped sum-product."""
         features, a, b, kind = graph.arrays()
         unary = self.start + self.node[features].sum(1) if len(features) else np.zeros((0, LABELS))
+        unary[features[:, 0] == NO_FEATURE] = 0
         source, target = np.concatenate([a, b]), np.concatenate([b, a])
         half = len(a)
         potential = np.concatenate([self.pair[kind], self.pair[kind].transpose(0, 2, 1)])
@@ -192,11 +252,14 @@ class SkipChain:
                 total[:, label] += np.bincount(target, message[:, label], len(unary))
             return total
 
-        for _ in range(ROUNDS if half else 0):
+        for _ in range(MOST_ROUNDS if half else 0):
             outgoing = gather()[source] - message[back]
             new = _logsum(outgoing[:, :, None] + potential, 1)
             new -= new.max(1, keepdims=True)
+            change = np.abs(new - message).max()
             message = DAMPING * message + (1 - DAMPING) * new
+            if change < SETTLED:
+                break
         total = gather() if half else unary
         marginal = np.exp(total - _logsum(total, 1)[:, None])
         cavity = total[source] - message[back]
@@ -204,19 +267,29 @@ class SkipChain:
         joint = np.exp(joint - _logsum(joint.reshape(half, -1), 1)[:, None, None]) if half else np.zeros((0, LABELS, LABELS))
         return features, a, b, kind, marginal, joint
 
-    def fit(self, graph: Graph, labels: np.ndarray) -> None:
-        """Log-likelihood ascent with message-passing marginals for the expectations."""
-        held = np.eye(LABELS)[labels]
+    def fit(self, graph: Graph, nodes: np.ndarray, labels: np.ndarray) -> None:
+        """Log-likelihood ascent with message-passing marginals for the expectations.
+
+        ``labels`` are those of ``nodes``; a hub has the label of most of its members.
+        """
+        every = np.zeros(len(graph.features), np.int64)
+        every[nodes] = labels
+        for hub, members in graph.hubs:
+            every[hub] = np.bincount(every[members], minlength=LABELS).argmax()
+        held = np.eye(LABELS)[every]
+        words = np.zeros((len(every), 1))
+        words[nodes] = 1
         sums = [np.full(x.shape, 1e-2) for x in (self.node, self.start, self.pair)]
         for _ in range(EPOCHS):
             features, a, b, kind, marginal, joint = self.beliefs(graph)
             error = held - marginal
+            error = error * words
             node = np.zeros_like(self.node)
             for column in features.T:
                 np.add.at(node, column, error)
             pair = np.zeros_like(self.pair)
             np.add.at(pair, kind, held[a][:, :, None] * held[b][:, None, :] - joint)
-            pair[1] = (pair[1] + pair[1].T) / 2
+            pair[1:] = (pair[1:] + pair[1:].transpose(0, 2, 1)) / 2
             for weights, step, total in zip((self.node, self.start, self.pair), (node, error.sum(0), pair), sums):
                 step = step - 0.05 * weights
                 total += step**2
@@ -229,33 +302,21 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(x - top).sum(axis, keepdims=True)) + top).squeeze(axis)
 
 
-def plausible(kind: int, word: str) -> bool:
-    """What a span of that kind cannot do without."""
-    digits = sum(c in "0123456789" for c in word)
-    if kind == 0:
-        return 0 < word.find("@") < len(word) - 1
-    if kind == 1:
-        return word.count(".") == 3 and digits >= 4
-    if kind == 2:
-        return 12 <= digits <= 19 and not any(c.isalpha() for c in word)
-    return 9 <= digits <= 15 and not any(c.isalpha() for c in word)
-
-
 def find_spans(texts: list[str], field: SkipChain | None) -> list[list[tuple[int, int, int, bool]]]:
     """Per text (start, kind, end, base), sorted."""
     base = [base_spans(t) for t in texts]
     out = [[(*s, True) for s in spans] for spans in base]
     if field is None or not field.fitted:
         return out
-    graph, held = Graph(), []
+    graph, held, nodes = Graph(), [], []
     for i, text in enumerate(texts):
         words = words_of(text)
         if words:
-            graph.add([w[0] for w in words], [text[a:b] for _, a, b in words])
+            nodes += graph.add([w[0] for w in words], [text[a:b] for _, a, b in words])
             held += [(i, *w) for w in words]
     if not held:
         return out
-    marginal = field.beliefs(graph)[4]
+    marginal = field.beliefs(graph)[4][nodes]
     best, sure = marginal.argmax(1), marginal.max(1) >= SURE
     runs: list[list[int]] = []  # text, kind, start, end, last place
     for (i, place, start, end), kind, ok in zip(held, best.tolist(), sure.tolist()):
@@ -271,7 +332,7 @@ def find_spans(texts: list[str], field: SkipChain | None) -> list[list[tuple[int
         start += len(word) - len(word.lstrip(_EDGE))
         end -= len(word) - len(word.rstrip(_EDGE))
         inside = any(a < end and start < b for a, _, b in base[i])
-        if end > start and not inside and plausible(kind, texts[i][start:end]):
+        if end > start and not inside:
             out[i].append((start, kind, end, False))
     return [sorted(spans) for spans in out]
 
@@ -299,7 +360,7 @@ def fit_pii(documents: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
         out = []
         for t in texts.to_pylist():
             base, row = base_spans(t), []
-            for place, a, b in words_of(t)[:WORDS_PER_ROW]:
+            for place, a, b in sampled_words(t):
                 kind = next((k + 1 for s, k, e in base if s < b and a < e), 0)
                 row.append({"place": place, "word": t[a:b][:200], "label": kind})
             out.append(row)
@@ -314,13 +375,13 @@ def fit_pii(documents: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -
     # at most ``rows`` numbers: a proven bound
     sampled = holding.join(F.broadcast(picked), "h").dropDuplicates(["h"])
     sample = sorted(sampled.select("h", label("t").alias("w")).collect(), key=lambda r: r["h"])
-    graph, labels = Graph(), []
+    graph, nodes, labels = Graph(), [], []
     for row in sample:
-        graph.add([w["place"] for w in row["w"]], [w["word"] for w in row["w"]])
+        nodes += graph.add([w["place"] for w in row["w"]], [w["word"] for w in row["w"]])
         labels += [w["label"] for w in row["w"]]
     field = SkipChain()
     if any(labels):
-        field.fit(graph, np.array(labels))
+        field.fit(graph, np.array(nodes), np.array(labels))
     return field
 
 

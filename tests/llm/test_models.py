@@ -168,7 +168,7 @@ def test_field_adds_what_repeats(spark):
 def test_field_learns_from_as_many_distinct_texts_as_wanted(spark, monkeypatch):
     """However rare the texts that hold a digit are, and however often each is copied."""
     learnt = []
-    monkeypatch.setattr(pii.SkipChain, "fit", lambda self, graph, labels: learnt.append(len(labels)))
+    monkeypatch.setattr(pii.SkipChain, "fit", lambda self, graph, nodes, labels: learnt.append(len(labels)))
     for copies, others in ((1, 40_000), (30, 0)):
         holding = spark.range(60 * copies).selectExpr("concat('write to ', 'user', id % 60, '@example.org') AS text")
         pii.fit_pii(holding.union(spark.range(others).selectExpr("'nothing here'")), rows=20)
@@ -176,6 +176,60 @@ def test_field_learns_from_as_many_distinct_texts_as_wanted(spark, monkeypatch):
     assert learnt == [20, 60, 20, 60]
 
 
+def test_forms_are_similar_by_one_character_or_a_tail_of_digits():
+    groups = pii.similar_forms(["4111111111111111", "4111111111111112", "411111111111111", "user17", "user18x", "00493012345678", "3012345678", "ab1", "ab2", "z" * 90, "z" * 89])
+    assert sorted(map(sorted, groups)) == [["00493012345678", "3012345678"], ["411111111111111", "4111111111111111", "4111111111111112"]]
+
+
+def test_evidence_reaches_every_mention_through_a_hub():
+    """One sure mention among thirty, and one of a similar form: edges stay linear, and all follow."""
+    field = pii.SkipChain()
+    field.fitted = True
+    field.pair[1:] = 6 * np.eye(pii.LABELS)
+    field.start = np.array([2.0, 0, 0, 0, 0])
+    graph = pii.Graph()
+    nodes = graph.add([3 * i for i in range(31)], [f"a-{'b' * (i % 2)}123456" if i % 2 == 0 else "a123456" for i in range(30)] + ["a123457"])
+    field.node[graph.features[nodes[0]][0]] = [0, 0, 60, 0, 0]
+    assert len(graph.source) == 31 and len(graph.hubs) == 1
+    marginal = field.beliefs(graph)[4][nodes]
+    assert (marginal.argmax(1) == 2).all()
+
+
+def test_sampled_words_are_runs_from_the_whole_text():
+    text = " ".join(f"n{i}" for i in range(5_000))
+    words = pii.sampled_words(text)
+    assert len(words) == 200 and words == sorted(words) and words[-1][0] > 2_500
+    assert pii.sampled_words("1 2 3") == pii.words_of("1 2 3")
+
+
+def test_planted_mentions_of_a_broken_format_are_found(spark):
+    """Numbers that occur once as the patterns ask and again with a wrong digit or other signs: precision and recall."""
+    chance = np.random.default_rng(23)
+
+    def card():
+        digits = [4, *chance.integers(0, 10, 14).tolist()]
+        doubled = [d if k % 2 else sum(divmod(2 * d, 10)) for k, d in enumerate(reversed(digits))]
+        return "".join(map(str, [*digits, -sum(doubled) % 10]))
+
+    def document(i, broken):
+        number = card()
+        again = number[:-1] + str((int(number[-1]) + 3) % 10)
+        order = f"{chance.integers(10**6, 10**7)}"
+        filler = " ".join(f"word{j}" for j in range(40))
+        return f"paid with {number} today. {filler} order {order} of {1990 + i % 30}, {filler} paid with {again if broken else number} again", again
+
+    plain = [(i, document(i, False)[0]) for i in range(150)]
+    field = pii.fit_pii(spark.createDataFrame(plain, "doc_id long, text string"))
+    hit = wrong = 0
+    for i in range(100):
+        text, again = document(i, True)
+        (spans,) = pii.find_spans([text], field)
+        added = [(text[a:b], pii.KINDS[k]) for a, k, b, base in spans if not base]
+        hit += (again, "card") in added
+        wrong += sum(x != (again, "card") for x in added)
+    assert hit >= 90 and wrong <= 5
+
+
 def test_op7_over_whole_table(spark, sf_dir):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     import hashlib
