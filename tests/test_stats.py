@@ -28,6 +28,7 @@ from metricspark.plans import (
     period_stats_sql,
     ranked_extremes_sql,
 )
+from metricspark.plans.sql import Rows
 from metricspark.sources import series_of, union_zones
 
 from frame_rows import rows
@@ -327,3 +328,28 @@ def test_sketches_answer_within_their_error(spark):
     odd = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "c"), ("", "c"), (None, None)], "x string, y string")
     assert distinct_points(odd, ["x", "y"], approx=True).first()[0] == distinct_points(odd, ["x", "y"]).first()[0] == 5
     assert distinct_points(odd.limit(0), ["x"], approx=True).first()[0] == 0
+
+
+def test_sql_form_filters_and_fails_as_the_dataframe_form(spark, readings):
+    """Zones, times, unreadable times, strict reading and null order in the SQL form."""
+    frame = readings.withColumn("zone", F.when(F.col("c") == "100.0", "A").otherwise("B"))
+    spec = SeriesSpec(time_col="time", zone_col="zone", metrics={"c": "c", "f": "f"}, time_format="yyyy-MM-dd HH:mm:ss")
+    series = series_of(frame, spec)
+    start, end = "2021-01-01 06:00:00", "2022-01-01"
+    cases = [
+        (Rows(zones=["B"]), series.where("zone = 'B'")),
+        (Rows(zones=[]), series.limit(0)),
+        (Rows(start=start, end=end), series.where(f"ts >= '{start}' and ts < '{end}'")),
+        (Rows(drop_invalid=True, zones=["A", "B"]), series.where("ts is not null")),
+    ]
+    for only, wanted in cases:
+        assert rows(period_stats_sql({None: frame}, spec, ["year"], rows=only)) == rows(period_stats(wanted, ["year"]))
+    strict = SeriesSpec(spec.time_col, spec.metrics, spec.time_format, zone_col="zone", mode="failfast")
+    assert rows(period_stats_sql({None: frame.where("time <> 'bad'")}, strict, ["year"])) == rows(period_stats(series.where("ts is not null"), ["year"]))
+    with pytest.raises(Exception, match="not a time: bad"):
+        period_stats_sql({None: frame}, strict, ["year"]).collect()
+    means = period_stats(series, ["year", "month"], stats=["avg"], by=["zone"])
+    for nulls in ("last", "spark"):
+        found = ranked_extremes_sql({None: frame}, spec, by=["zone"], k=2, nulls=nulls)
+        want = ranked_extremes(means, ["c_avg", "f_avg"], by=["zone"], k=2, nulls=nulls, labels={"c_avg": "c", "f_avg": "f"})
+        assert rows(found, *want.columns) == rows(want)
