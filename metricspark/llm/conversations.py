@@ -39,7 +39,6 @@ empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-import itertools
 import zlib
 from collections.abc import Iterator
 
