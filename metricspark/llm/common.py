@@ -106,7 +106,7 @@ class PieceEncoder:
     encoded, and their ids are gathered for all texts. What is remembered is bounded.
     """
 
-    SLICE = 4_000
+    SLICE = 500
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], dtype: str, limit: int = 150_000):
         self.encode, self.dtype, self.limit = encode, np.dtype(dtype), limit
