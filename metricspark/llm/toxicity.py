@@ -29,6 +29,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +56,7 @@ SUSPECTED = 0.2  # words below do not add to a document's score, however many th
 BREAK = "\x00"
 LIMIT = 25.0
 WORD = re.compile(r"\S+")
+EDGES = re.compile(r"^\W+|\W+$")
 
 
 # ---- words and their features -----------------------------------------------
@@ -69,20 +71,31 @@ def ends_chain(word: str) -> bool:
     return word == BREAK or word[-1] in ".!?"
 
 
-def _hash(kind: str, value: str) -> int:
-    return zlib.crc32(f"{kind}{value}".encode(errors="replace")) & (BUCKETS - 1)
-
-
 def core(word: str) -> str:
     low = word.lower()
-    return low if low.isalnum() else re.sub(r"^\W+|\W+$", "", low)
+    if low.isalnum():
+        return low
+    low = low.strip(".,;:!?()\"'")  # most need no more than this
+    return low if low.isalnum() else EDGES.sub("", low)
+
 
+# checksums go on from that of a feature's kind
+WHOLE = zlib.crc32(b"w")
+BEGINNINGS = [(k, zlib.crc32(b"p%d" % k)) for k in (3, 4, 5, 6)]
+ENDINGS = [(k, zlib.crc32(b"s%d" % k)) for k in (3, 4)]
 
-def own_features(word: str) -> list[int]:
+
+def own_features(word: str, crc32=zlib.crc32) -> list[int]:
+    """Buckets of the word itself, the first, and of its beginnings and endings."""
     low = core(word)
-    found = [_hash("w", low)]
-    found += [_hash(f"p{k}", low[:k]) for k in (3, 4, 5, 6) if len(low) >= k]
-    found += [_hash(f"s{k}", low[-k:]) for k in (3, 4) if len(low) > k]
+    data, n, top = low.encode(errors="replace"), len(low), BUCKETS - 1
+    found = [crc32(data, WHOLE) & top]
+    if len(data) == n:  # a byte for every character
+        found += [crc32(data[:k], kind) & top for k, kind in BEGINNINGS if n >= k]
+        found += [crc32(data[-k:], kind) & top for k, kind in ENDINGS if n > k]
+    else:
+        found += [crc32(low[:k].encode(errors="replace"), kind) & top for k, kind in BEGINNINGS if n >= k]
+        found += [crc32(low[-k:].encode(errors="replace"), kind) & top for k, kind in ENDINGS if n > k]
     return found
 
 
@@ -120,8 +133,9 @@ class LinearChain:
         begin = np.repeat(starts, pieces) + SEGMENT * index
         size = np.minimum(SEGMENT, np.repeat(starts + lengths, pieces) - begin)
         enter, leave = np.zeros(len(begin)), np.ones(len(begin))
-        if len(begin) > len(starts):
-            self._carry(phi, a, pieces, index, begin, size, enter, leave)
+        cut = np.flatnonzero(np.repeat(pieces > 1, pieces))  # segments of long chains
+        if len(cut):
+            enter[cut], leave[cut] = self._carry(phi, a, pieces[pieces > 1], begin[cut], size[cut])
         order = np.argsort(-size, kind="stable")
         begin, size, enter, leave, index = (x[order] for x in (begin, size, enter, leave, index))
         forward, backward = np.empty_like(phi), np.ones_like(phi)
@@ -144,51 +158,62 @@ class LinearChain:
         return forward, backward
 
     @staticmethod
-    def _carry(phi, a, pieces, index, begin, size, enter, leave) -> None:
+    def _carry(phi, a, pieces, begin, size) -> tuple[np.ndarray, np.ndarray]:
         """The ratios that enter and leave the segments of long chains.
 
         A segment maps the ratio before it to that at its end, and backwards, by a fraction
         of two linear terms: a 2 x 2 matrix, made for all segments in step. Then the ratios
         go from segment to segment.
         """
-
-        def product(steps) -> np.ndarray:
-            out = np.zeros((2, 2, len(begin)))
-            out[0, 0] = out[1, 1] = 1
-            for some, matrix in steps:
-                out[:, :, some] = np.einsum("ijn,jkn->ikn", matrix, out[:, :, some])
-                out[:, :, some] /= out[:, :, some].max((0, 1))
+        last = np.cumsum(pieces) - 1
+        first = last - pieces + 1
+        order = np.argsort(-size, kind="stable")
+        place = begin[order]
+        longest = int(size[order[0]])
+        active = [int(np.searchsorted(-size[order], -t, side="left")) for t in range(longest)]
+        opening = np.zeros(len(begin), bool)
+        opening[first] = True
+        opening = np.flatnonzero(opening[order])
+
+        def scaled(matrix: np.ndarray) -> np.ndarray:
+            return matrix / matrix.max((0, 1))
+
+        def unordered(matrix: np.ndarray) -> np.ndarray:
+            out = np.empty_like(matrix)
+            out[:, :, order] = matrix
             return out
 
-        def onward():
-            for t in range(SEGMENT):
-                some = np.flatnonzero(size > t)
-                here, one = phi[begin[some] + t], np.ones(len(some))
-                matrix = np.array([[a[1, 1] * here, a[0, 1] * here], [a[1, 0] * one, a[0, 0] * one]])
-                if not t:  # the first word of a chain has no ratio before it
-                    first = index[some] == 0
-                    matrix[:, 0, first] = 0
-                    matrix[:, 1, first] = np.array([here[first], one[first]])
-                yield some, matrix
-
-        def back():
-            for t in range(SEGMENT - 2, -1, -1):
-                some = np.flatnonzero(size > t + 1)
-                after, one = phi[begin[some] + t + 1], np.ones(len(some))
-                yield some, np.array([[a[1, 1] * after, a[1, 0] * one], [a[0, 1] * after, a[0, 0] * one]])
+        def identity() -> np.ndarray:
+            return np.repeat(np.eye(2)[:, :, None], len(begin), 2)
+
+        # a word's matrix is that of the move, with a row (backwards: a column) times its phi
+        ahead = identity()
+        for t in range(longest):
+            now = ahead[:, :, : active[t]]
+            made = np.array([a[1, 1] * now[0] + a[0, 1] * now[1], a[1, 0] * now[0] + a[0, 0] * now[1]])
+            if not t:  # the first word of a chain has no ratio before it
+                made[:, 0, opening] = 0
+                made[:, 1, opening] = 1
+            made[0] *= phi[place[: active[t]] + t]
+            ahead[:, :, : active[t]] = scaled(made)
+        behind = identity()
+        for t in range(longest - 2, -1, -1):
+            now = behind[:, :, : active[t + 1]]
+            told = now[0] * phi[place[: active[t + 1]] + t + 1]
+            behind[:, :, : active[t + 1]] = scaled(np.array([a[1, 1] * told + a[1, 0] * now[1], a[0, 1] * told + a[0, 0] * now[1]]))
+        ahead, behind = unordered(ahead), unordered(behind)
 
         def apply(matrix: np.ndarray, value: np.ndarray) -> np.ndarray:
             return (matrix[0, 0] * value + matrix[0, 1]) / (matrix[1, 0] * value + matrix[1, 1])
 
-        ahead, behind = product(onward()), product(back())
-        last = np.cumsum(pieces) - 1
-        first = last - pieces + 1
+        enter, leave = np.zeros(len(begin)), np.ones(len(begin))
         for j in range(1, int(pieces.max())):
             at = first[pieces > j] + j
             enter[at] = apply(ahead[:, :, at - 1], enter[at - 1])
             at = last[pieces > j] - j + 1  # from the end, what its first word tells the segment before
             told = phi[begin[at]] * apply(behind[:, :, at], leave[at])
             leave[at - 1] = (a[1, 0] + a[1, 1] * told) / (a[0, 0] + a[0, 1] * told)
+        return enter, leave
 
     def fit(self, chains: list[tuple[list[list[int]], list[int], np.ndarray]]) -> None:
         """Chains as (own features, word hash, label) per word."""
@@ -263,38 +288,53 @@ def document_inputs(stats: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(stats)), np.log(total + 0.1) + 0.02 * np.log(most / (1 - most))])
 
 
+class Numbers(dict):
+    """Numbers words in the order they are met in; ``new`` lists those not looked at yet."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class Tagger:
     """Runs a field over texts; what a word contributes is worked out once per word."""
 
     def __init__(self, field: LinearChain):
         self.field = field
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
         self.parts = np.zeros((4, MEMO_WORDS + 1))  # own, left, right, ends
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.number) + len(words) > MEMO_WORDS:
-            self.number.clear()
-        if len(words) > self.parts.shape[1]:
-            self.parts = np.zeros((4, len(words)))
-        f = self.field
-        for word in words:
-            at = self.number[word] = len(self.number)
-            if word == BREAK:
-                self.parts[:, at] = (-LIMIT, 0, 0, 1)
-                continue
-            h = _hash("w", core(word))
-            self.parts[:, at] = (f.own[own_features(word)].sum(), f.left[h], f.right[h], ends_chain(word))
+    def _learn(self) -> None:
+        """Works out the parts of all new words at once."""
+        words, self.number.new = self.number.new, []
+        if not words:
+            return
+        if len(self.number) > self.parts.shape[1]:
+            self.parts = np.pad(self.parts, ((0, 0), (0, len(self.number) - self.parts.shape[1])))
+        features = [own_features(word) for word in words]
+        sizes = np.fromiter(map(len, features), np.int64, len(features))
+        flat = np.fromiter(chain.from_iterable(features), np.int64, sizes.sum())
+        begin = np.cumsum(sizes) - sizes
+        f, h = self.field, flat[begin]
+        known = len(self.number) - len(words)
+        self.parts[:, known : len(self.number)] = (
+            np.add.reduceat(f.own[flat], begin), f.left[h], f.right[h], [ends_chain(w) for w in words]
+        )
+        if BREAK in self.number and self.number[BREAK] >= known:
+            self.parts[:, self.number[BREAK]] = (-LIMIT, 0, 0, 1)
 
     def marginals(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Odds of toxic for all words of all texts, and where each text begins."""
-        known = self.number
-        new = {w for words in split for w in words if w not in known}
-        if new:
-            before = len(known)
-            self._learn(new)
-            if len(known) < before + len(new):  # it was emptied
-                self._learn({w for words in split for w in words if w not in known})
-        ids = np.concatenate([np.array([known[w] for w in words]) for words in split])
+        if len(self.number) > MEMO_WORDS:
+            self.number.clear()
+        words = list(chain.from_iterable(split))
+        ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        self._learn()
         sizes = np.array([len(words) for words in split])
         first = np.cumsum(sizes) - sizes
         own, left, right, ends = self.parts[:, ids]
@@ -407,9 +447,8 @@ def label_tokens(rows: list[tuple[int, list[str]]]) -> list[tuple[list[list[int]
             (found if label.any() else others).append((parts, label))
     random = np.random.default_rng(3)
     keep = random.permutation(len(others))[: OTHERS * max(len(found), 1_000)]
-    place = Memo(lambda w: _hash("w", core(w)), len(words) + 1)
     return [
-        ([words[w] for w in parts], np.array([place[w] for w in parts]), label)
+        ([words[w] for w in parts], np.array([words[w][0] for w in parts]), label)
         for parts, label in found + [others[i] for i in keep]
     ]
 

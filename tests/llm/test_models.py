@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -269,6 +270,44 @@ def test_long_chains_are_exact_whatever_their_segments(monkeypatch, segment):
     assert again[0] == pytest.approx(forward, rel=1e-8) and again[1] == pytest.approx(backward, rel=1e-8)
 
 
+def test_new_words_are_learnt_at_once_and_short_chains_carry_nothing(monkeypatch):
+    """Parts are those of every word's features; a word is cut once, also where the memory is emptied between."""
+    chance = np.random.default_rng(4)
+    field = toxicity.LinearChain()
+    field.own, field.left, field.right = chance.normal(0, 1, (3, toxicity.BUCKETS))
+    field.move = chance.normal(0, 1, (2, 2))
+
+    def bucket(kind, value):
+        return zlib.crc32(f"{kind}{value}".encode()) & (toxicity.BUCKETS - 1)
+
+    def brute(word):
+        if word == toxicity.BREAK:
+            return [-toxicity.LIMIT, 0, 0, 1]
+        low = re.sub(r"^\W+|\W+$", "", word.lower())
+        own = [bucket("w", low)] + [bucket(f"p{k}", low[:k]) for k in (3, 4, 5, 6) if len(low) >= k]
+        own += [bucket(f"s{k}", low[-k:]) for k in (3, 4) if len(low) > k]
+        return [field.own[own].sum(), field.left[own[0]], field.right[own[0]], float(word[-1] in ".!?")]
+
+    words = ["Fine", "(so-so)", "ärgerlich!", "---", "«Olé»", "x_", "don't", "ΣΑΣ", "日本語", "a.b", "?!", "'s.", "…wait", "été,"]
+    texts = [" ".join(words) + "\nagain fine.", " ".join(f"w{i}" for i in range(200)) + ". short one."]
+    calls, carried = [], []
+    cut, carry = toxicity.core, toxicity.LinearChain._carry
+    monkeypatch.setattr(toxicity, "core", lambda w: calls.append(w) or cut(w))
+    monkeypatch.setattr(toxicity.LinearChain, "_carry", staticmethod(lambda *x: carried.append(len(x[3])) or carry(*x)))
+    split = [toxicity.tokens(t) for t in texts]
+    tagger = toxicity.Tagger(field)
+    odds, _ = tagger.marginals(split)
+    for word, at in tagger.number.items():
+        assert tagger.parts[:, at] == pytest.approx(brute(word)), word
+    assert sorted(calls) == sorted({w for ws in split for w in ws})
+    assert carried == [4]  # 200 words are four segments
+    monkeypatch.setattr(toxicity, "MEMO_WORDS", 30)
+    tagger = toxicity.Tagger(field)
+    for _ in range(3):
+        again = np.concatenate([tagger.marginals([ws])[0] for ws in split])
+        assert again == pytest.approx(odds, rel=1e-9)
+
+
 def test_a_sentence_of_three_thousand_words_is_one_chain(spark):
     """Words stay linked across the 64th, and a repeated id sends a bounded number of rows to the driver."""
     chance = random.Random(9)
