@@ -117,7 +117,8 @@ class PieceEncoder:
     def forget(self) -> None:
         self.young, self.old = {}, {}
 
-    def _look(self, words: list[str]) -> list[bytes]:
+    def look(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
         young, old = self.young, self.old
         got = list(map(young.get, words))
         new = []
@@ -144,7 +145,7 @@ class PieceEncoder:
         coded = pieces.flatten().dictionary_encode()
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        got = self._look(coded.dictionary.to_pylist())
+        got = self.look(coded.dictionary.to_pylist())
         ends = np.cumsum([0, *map(len, got)]) // self.dtype.itemsize
         ids = pa.array(np.frombuffer(b"".join(got), self.dtype))
         gathered = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), ids).take(coded.indices)

@@ -25,12 +25,12 @@ from __future__ import annotations
 import bisect
 import io
 import json
+import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,7 +48,11 @@ END_ID = 2
 SHARD_TOKENS = 1 << 21
 BLOCK_BITS = 1 << 16
 SUB_WORDS = 8  # 64-bit words between two counts
-REMEMBERED = 400_000  # pieces of a generation
+REMEMBERED, REMEMBERED_WORDS = 150_000, 250_000  # pieces and words of a generation
+JOINED = 64  # words that the library gets as one text
+# Latin letters, each lowered to one letter, and marks behind them: no apostrophe, as the library's
+# pattern looks for some letters after it, and nothing that a special token begins or ends with
+WORD_AND_MARKS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!\"#$%&()*+,\-./:;=?@\[\\\]^_`{}~]*)")
 GROUP_ROWS, GROUP_BYTES = 8_000, 32 << 20  # of texts encoded together
 
 MANIFEST = "first_doc long, part int, seq int, path string, n_docs long, n_tokens long"
@@ -227,6 +231,11 @@ class LibraryEncoder:
     Blanks and line feeds are dropped by this vocabulary's normaliser and never lie
     within a token, so the library's ids of a text are those of its pieces. The
     vocabulary has fewer than 65,536 ids, so 16 bits hold one.
+
+    Its pattern cuts letters from marks, its normaliser lowers letters, and a run of letters
+    has one id with the word-end suffix, its last. So a piece of Latin letters and marks has
+    the ids of both, each distinct word is encoded once, and the library gets many words as
+    one text, whose ids are cut after those with the suffix. Other pieces are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -236,14 +245,51 @@ class LibraryEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pieces = PieceEncoder(self._encode, "<u2", limit=REMEMBERED)
+        self.words = PieceEncoder(self._encode_words, "<u2", limit=REMEMBERED_WORDS)
+        self.marks = Memo(lambda marks: self._encode_each([marks])[0], 10_000)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in self.tokenizer.get_vocab().items() if suffix and token.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+        """The ids of all texts, and how many each has."""
+        coded = [c.ids for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(coded), "<u2"), list(map(len, coded))
+
+    @staticmethod
+    def _cut(ids: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        raw, places = ids.tobytes(), (2 * ends).tolist()
+        return [raw[a:b] for a, b in zip([0, *places], places)]
+
+    def _encode_each(self, pieces: list[str]) -> list[bytes]:
+        ids, sizes = self._ids(pieces)
+        return self._cut(ids, np.cumsum(sizes))
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        ids, _ = self._ids([" ".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):  # another vocabulary's pattern: each word has one at least
+            return self._encode_each(words)
+        return self._cut(ids, ends)
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        coded = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        out = [array("H", c.ids) for c in coded]
-        if sys.byteorder == "big":
-            for ids in out:
-                ids.byteswap()
-        return [ids.tobytes() for ids in out]
+        out: list[bytes] = [b""] * len(pieces)
+        words, marks, places, others = [], [], [], []
+        for i, piece in enumerate(pieces):
+            found = WORD_AND_MARKS.fullmatch(piece)
+            if found:
+                words.append(found[1].lower())
+                marks.append(found[2])
+                places.append(i)
+            else:
+                others.append(i)
+        distinct = list(dict.fromkeys(words))
+        known = dict(zip(distinct, self.words.look(distinct)))
+        for i, word, mark in zip(places, words, marks):
+            out[i] = known[word] + self.marks[mark] if mark else known[word]
+        for i, ids in zip(others, self._encode_each([pieces[i] for i in others])):
+            out[i] = ids
+        return out
 
 
 _ENCODERS: dict[str, LibraryEncoder] = {}

@@ -6,6 +6,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from metricspark.llm import bpe
@@ -143,3 +144,35 @@ def test_rank_and_select_across_blocks(top):
         assert file.count(token, 500, 70_001) == int(((places >= 500) & (places < 70_001)).sum())
         for k in {0, len(places) // 2, len(places) - 1} if len(places) else ():
             assert file.occurrence(token, k) == places[k]
+
+
+def test_op1_encodes_a_word_once_and_many_words_at_a_time(tokenizer):
+    """However the word is written and whatever marks follow; the ids stay the library's."""
+    from metricspark.llm.wavelet import LibraryEncoder
+
+    class Spy:
+        def __init__(self, inner):
+            self.inner, self.got = inner, []
+
+        def encode_batch_fast(self, texts, **more):
+            self.got += texts
+            return self.inner.encode_batch_fast(texts, **more)
+
+    def same(encoder, pieces):
+        ids, at = encoder.pieces(pa.array(pieces))
+        for piece, a, b in zip(pieces, at, at[1:]):
+            assert ids[a:b].tolist() == tokenizer.encode(piece, add_special_tokens=False).ids, ascii(piece)
+
+    encoder = LibraryEncoder(tokenizer_path())
+    spy = encoder.tokenizer = Spy(encoder.tokenizer)
+    chance = random.Random(8)
+    words = list(dict.fromkeys("".join(chance.choice("abcdeéöñ") for _ in range(9)) for _ in range(2_000)))
+    same(encoder, [f(w) + m for w in words for f in (str.lower, str.upper, str.title) for m in ("", ",", "...", "%%%")])
+    assert sum(len(t.split(" ")) for t in spy.got) == len(words) + 3  # and the marks
+    assert len(spy.got) < len(words) / 10
+
+    special = ["<|endoftext|>", "<|ENDOFTEXT|>", "a<|endoftext|>.", "x|", "<x", "x>,", "s.'s", "don't,", "I'LL.", "'s,", "x'", "a1,", "a.b", "_", "x_y_"]
+    special += ["e\u0301,", "e,\u0301", "x=\u0338", "İ.", "Aİ,", "\u0958.", "Σ.", "ΑΣ,", "ﬁ,", "K,", "½", "x½.", "ŉ,", "ǅ.", "ß!", "ẞ!", "日本,", "\u1112\u1161,", "x\x1c.", "x\u00a0,"]
+    same(encoder, special)
+    same(encoder, [chr(c) + m for c in range(0x21, 0x2000) for m in ("", ",", "x", "_.")])
+    same(encoder, [f"x{chr(c)}{m}" for c in range(0x21, 0x300) for m in ("", ".", "\u0301,")])
